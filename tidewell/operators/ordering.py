@@ -119,7 +119,8 @@ def hash_cuts(
     """For each stratum, the (digest, key) at rank floor(n * percent / 100) in digest order.
 
     Digests are uniform, so their leading hex digits cut every stratum into even
-    buckets without sampling. Only the buckets that hold a cut are ranked. Returns
+    buckets without sampling. Only the buckets that hold a cut are ranked. Ranks
+    count rows; where a key has several copies the cut moves past all of them. Returns
     one row per stratum with ``cut_<percent>`` structs (null when the rank is 0).
     """
     keyed = df.select(
@@ -156,12 +157,21 @@ def hash_cuts(
             (F.col("cut.rank") - F.col("upto") + F.col("n")).alias("want"),
         )
     )
-    # At most one row per stratum and percent.
-    in_cut = keyed.join(F.broadcast(cut_buckets), ["_stratum", "_bucket"])
-    position = F.row_number().over(
-        Window.partitionBy("_stratum", "percent").orderBy("_digest", "_key")
+    # At most one row per stratum and percent. Copies of a key share a digest, so
+    # they are collapsed before the ranking; a key is never split between sides.
+    in_cut = (
+        keyed.join(F.broadcast(cut_buckets), ["_stratum", "_bucket"])
+        .groupBy("_stratum", "percent", "want", "_digest", "_key")
+        .agg(F.count("*").alias("copies"))
+    )
+    upto = F.sum("copies").over(
+        Window.partitionBy("_stratum", "percent")
+        .orderBy("_digest", "_key")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    chosen = in_cut.withColumn("_upto", upto).where(
+        (F.col("_upto") >= F.col("want")) & (F.col("_upto") - F.col("copies") < F.col("want"))
     )
-    chosen = in_cut.withColumn("_position", position).where(F.col("_position") == F.col("want"))
     return chosen.groupBy(F.col("_stratum").alias(stratum)).agg(
         *[
             F.max(
