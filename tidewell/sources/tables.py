@@ -104,19 +104,32 @@ class TableStore:
         )
         return WriteResult("replaced", rows())
 
-    def upsert(self, name: str, source: DataFrame, keys: Sequence[str], partition: str) -> WriteResult:
+    def upsert(
+        self,
+        name: str,
+        source: DataFrame,
+        keys: Sequence[str],
+        partition: str,
+        on_new_columns: str = "recreate",
+    ) -> WriteResult:
         """MERGE on ``keys``: matched rows are replaced, others inserted.
 
         ``partition`` is one of the keys. Only partitions that the source touches
-        are read and rewritten; the merged rows are staged before the rewrite.
+        are read and rewritten. Source and merged rows are staged, so the source is
+        evaluated once and the target is not overwritten while it is read. When the
+        source brings new columns the table is recreated from it; with
+        ``on_new_columns="merge"`` old rows are kept and read as null there.
         """
+        if on_new_columns not in ("recreate", "merge"):
+            raise ValueError("on_new_columns must be 'recreate' or 'merge'")
+        source = stage(source, "upsert-source")
         mutation.require_unique(source, keys)
         if not self.exists(name):
             return WriteResult("created", self.overwrite(name, source, [partition]).rows)
         target = self.read(name)
-        if set(source.columns) - set(target.columns):
+        if set(source.columns) - set(target.columns) and on_new_columns == "recreate":
             return WriteResult("recreated", self.overwrite(name, source, [partition]).rows)
-        merged = mutation.upsert(target, source, keys, partition).select(*target.columns)
+        merged = mutation.upsert(target, source, keys, partition)
         self.replace_partitions(name, stage(merged, "upsert"), partition)
         return WriteResult("merged", source.count())
 
@@ -178,4 +191,4 @@ def _writer(df: DataFrame, partition_by: Sequence[str]):
 def _counted(df: DataFrame):
     """Count rows while they are written, so no second evaluation is needed."""
     seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("n")), lambda: int(seen.get["n"])
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), lambda: int(seen.get.get("n", 0))
