@@ -273,10 +273,10 @@ def feature_snapshots(
         prior_far, prior_near = 2 * lv.days, lv.days + 1
         out += [
             latest.over(so_far)["v"].alias(lv.latest),
-            (over_days("_sum", lv.days) / over_days("_values", lv.days)).alias(lv.mean),
-            (over_days("_sum", prior_far, prior_near) / over_days("_values", prior_far, prior_near)).alias(
-                lv.prior_mean
-            ),
+            F.try_divide(over_days("_sum", lv.days), over_days("_values", lv.days)).alias(lv.mean),
+            F.try_divide(
+                over_days("_sum", prior_far, prior_near), over_days("_values", prior_far, prior_near)
+            ).alias(lv.prior_mean),
         ]
     if spec.recency:
         last_day = F.max(F.when(real, F.col("_day"))).over(so_far)
