@@ -54,7 +54,7 @@ class TableStore:
 
     def overwrite(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> WriteResult:
         """Replace rows and schema. ``df`` must not read from this table."""
-        counted, rows = _counted(df)
+        counted, rows = _counted(_laid_out(df, partition_by))
         _writer(counted, partition_by).mode("overwrite").option(
             "partitionOverwriteMode", "static"
         ).parquet(self.path(name))
@@ -62,7 +62,7 @@ class TableStore:
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> WriteResult:
         """Add rows. New columns are allowed; ``read`` merges the file schemas."""
-        counted, rows = _counted(df)
+        counted, rows = _counted(_laid_out(df, partition_by))
         _writer(counted, partition_by).mode("append").parquet(self.path(name))
         return WriteResult("appended", rows())
 
@@ -95,7 +95,7 @@ class TableStore:
 
     def replace_partitions(self, name: str, df: DataFrame, column: str) -> WriteResult:
         """Replace every partition that ``df`` has rows for; leave the others alone."""
-        counted, rows = _counted(df)
+        counted, rows = _counted(_laid_out(df, [column]))
         (
             counted.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -188,7 +188,19 @@ def _writer(df: DataFrame, partition_by: Sequence[str]):
     return df.write.partitionBy(*partition_by) if partition_by else df.write
 
 
+def _laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring rows of a partition together, so that not every task writes to every folder.
+
+    Adaptive execution splits a partition that is too large for one task.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def _counted(df: DataFrame):
-    """Count rows while they are written, so no second evaluation is needed."""
+    """Count rows while they are written, so no second evaluation is needed.
+
+    The count sits in the writing stage, where Spark counts each task once even if it
+    is repeated.
+    """
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("n")), lambda: int(seen.get.get("n", 0))
