@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("keys_quality", "snapshots", "mutations", "evaluation_drift", "reports_queries")
+MODULES = (
+    "flows",
+    "keys_quality",
+    "snapshots",
+    "mutations",
+    "evaluation_drift",
+    "reports_queries",
+    "scoring_governance",
+    "streams_models",
+)
 
 
 def registered() -> dict:
