@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from tidewell.operators import evaluation, split
 from tidewell.operators.drift import unpivot
 from tidewell.operators.ordering import exact_quantiles
+from tidewell.session import scratch_path, stage
 
 NOT_FEATURES = ("customer_id", "churn", "churn_label", "churned", "snapshot_date", "_transformed_at",
                 "_built_at", "label_horizon_days", "maturity_date", "fold")
@@ -168,6 +169,26 @@ def _with_probability(model: PipelineModel, filled: DataFrame) -> DataFrame:
     return model.transform(filled).select(*keep, p.alias(PROBABILITY))
 
 
+def _stored(model: PipelineModel, spark) -> PipelineModel:
+    """Save to the shared scratch folder and load again.
+
+    A loaded model has no training summary. A summary refers to the session, which
+    cannot always be serialised with the tasks that score.
+    """
+    path = scratch_path(spark, "model")
+    model.save(path)
+    return PipelineModel.load(path)
+
+
+def _scored(model: PipelineModel, filled: DataFrame, label: str) -> DataFrame:
+    """Label and probability, written once, so the model runs once per row.
+
+    A filter on the probability would otherwise be pushed below it and evaluate the
+    model again for each condition.
+    """
+    return stage(_with_probability(model, filled).select(label, PROBABILITY), "scored")
+
+
 def balance_weights(positives: int, negatives: int, label: str) -> Column:
     """Weights under which both classes weigh the same and the mean weight is 1."""
     total = positives + negatives
@@ -187,6 +208,7 @@ def train_and_compare(
 
     64/16/20 stratified folds; the threshold is the F1-best validation score.
     """
+    spark = data.sparkSession
     numeric, categorical = feature_columns(data, [*excluded, key, label])
     if not numeric and not categorical:
         raise TrainingError("no feature columns")
@@ -209,9 +231,9 @@ def train_and_compare(
     rows, models = [], {}
     try:
         for c in candidates or default_candidates(label, seed=seed):
-            fitted = PipelineModel(stages=[*prepared.stages, c.estimator.fit(ready_vectors)])
+            fitted = _stored(PipelineModel(stages=[*prepared.stages, c.estimator.fit(ready_vectors)]), spark)
             found = evaluation.ranking_metrics(
-                _with_probability(fitted, validation), label, PROBABILITY
+                _scored(fitted, validation, label), label, PROBABILITY
             ).first()
             models[c.algorithm] = fitted
             rows.append(
@@ -232,7 +254,7 @@ def train_and_compare(
     best["selected"] = True
     model, threshold = models[best["algorithm"]], best["classification_threshold"]
 
-    scored = _with_probability(model, test)
+    scored = _scored(model, test, label)
     ranking = evaluation.ranking_metrics(scored, label, PROBABILITY).first()
     counts = evaluation.confusion_metrics(scored, label, PROBABILITY, threshold).first()
     metrics = {

@@ -12,6 +12,7 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions import bands
 from tidewell.operators import conform, drift, features, governance, labels, quality, scoring
 from tidewell.operators.mutation import latest_per_key, require_unique
 from tidewell.operators.runlog import track_run
@@ -67,10 +68,10 @@ def build_feature_snapshot(store: TableStore, events: DataFrame, as_of: date) ->
     """Features of one as-of date into their partition; skipped when there is no event yet."""
     with track_run(store, "build_features", f"build-features-{as_of.isoformat()}") as run:
         customers = store.read(CUSTOMERS) if store.exists(CUSTOMERS) else None
-        rows = features.feature_snapshot(events, as_of, snapshots=customers)
-        if rows.isEmpty():
+        if events.where(bands.up_to(events, "event_ts", as_of)).isEmpty():
             run.status, run.output = "skipped", {"reason": "no events on or before as_of_date"}
             return WriteResult("skipped", 0)
+        rows = features.feature_snapshot(events, as_of, snapshots=customers)
         result = store.replace_partition(FEATURES, rows, "snapshot_date", as_of)
         run.output = {"as_of_date": as_of, "customers": result.rows, "features": len(rows.columns) - 3}
     return result
@@ -104,7 +105,7 @@ def label_mature_snapshots(
     rows = labels.mature_labels(
         events, store.read(FEATURES), today, labels.LabelSpec(horizon=horizon), done
     )
-    return store.replace_partitions(LABELS, stage(rows, "labels"), "snapshot_date")
+    return store.replace_partitions(LABELS, rows, "snapshot_date")
 
 
 def training_set(store: TableStore) -> DataFrame:

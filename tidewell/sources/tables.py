@@ -1,6 +1,6 @@
 """Parquet tables under one shared root, with partition replacement, upsert and audit appends.
 
-Parquet has no transaction log. Each write below is staged first where it reads
+Parquet has no transaction log. Each write below is staged first where it may read
 its own target, and replaces whole partitions. One writer per table at a time.
 """
 
@@ -9,8 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,13 +38,10 @@ class TableStore:
         return f"{self.root.rstrip('/')}/{name}"
 
     def exists(self, name: str) -> bool:
-        try:
-            self.spark.read.parquet(self.path(name))
-            return True
-        except AnalysisException as problem:
-            if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return False
-            raise
+        """True when the table's folder is there; asks the file system, starts no job."""
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        return target.getFileSystem(conf).exists(target)
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         """Scan a table. Columns added by later appends show up as nulls in older rows."""
@@ -54,55 +50,48 @@ class TableStore:
 
     def overwrite(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> WriteResult:
         """Replace rows and schema. ``df`` must not read from this table."""
-        counted, rows = _counted(_laid_out(df, partition_by))
-        _writer(counted, partition_by).mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).parquet(self.path(name))
-        return WriteResult("overwritten", rows())
+        _writer(df, partition_by).mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            self.path(name)
+        )
+        return WriteResult("overwritten", self._stored_rows(name, df))
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> WriteResult:
         """Add rows. New columns are allowed; ``read`` merges the file schemas."""
-        counted, rows = _counted(_laid_out(df, partition_by))
-        _writer(counted, partition_by).mode("append").parquet(self.path(name))
-        return WriteResult("appended", rows())
+        _writer(df, partition_by).mode("append").parquet(self.path(name))
+        return WriteResult("appended")
 
-    def create_if_absent(self, name: str, like: DataFrame, partition_by: Sequence[str] = ()) -> WriteResult:
+    def create_if_absent(self, name: str, like: DataFrame) -> WriteResult:
         """An empty table with the schema of ``like``, unless the table exists."""
         if self.exists(name):
             return WriteResult("exists")
-        empty = self.spark.createDataFrame([], like.schema)
-        # A partitioned write of no rows leaves no file and so no schema.
-        _writer(empty, ()).mode("ignore").parquet(self.path(name))
+        self.spark.createDataFrame([], like.schema).write.mode("ignore").parquet(self.path(name))
         return WriteResult("created", 0)
 
     def replace_partition(self, name: str, df: DataFrame, column: str, value) -> WriteResult:
-        """Replace exactly the partition ``column = value``; an empty ``df`` empties it."""
-        rows = F.col(column) == F.lit(value).cast(df.schema[column].dataType)
+        """Replace exactly the partition ``column = value``; an empty ``df`` empties it.
+
+        The rows are staged first, so ``df`` may read the same table.
+        """
+        inside = F.col(column) == F.lit(value).cast(df.schema[column].dataType)
         stray = F.raise_error(F.lit(f"row outside partition {column}={value}")).cast("boolean")
-        counted, count = _counted(df.where(F.when(rows, F.lit(True)).otherwise(stray)))
-        (
-            counted.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(column)
-            .parquet(self.path(name))
-        )
-        written = count()
-        if written == 0:
-            # Dynamic overwrite touches only partitions it writes to.
+        rows = stage(df.where(F.when(inside, F.lit(True)).otherwise(stray)), "partition")
+        count = rows.count()
+        if count:
+            self._swap(name, rows, column)
+        else:
+            # Dynamic overwrite touches only partitions that it writes to.
             empty = self.spark.createDataFrame([], T.StructType([f for f in df.schema if f.name != column]))
             empty.write.mode("overwrite").parquet(f"{self.path(name)}/{column}={value}")
-        return WriteResult("replaced", written)
+        return WriteResult("replaced", count)
 
     def replace_partitions(self, name: str, df: DataFrame, column: str) -> WriteResult:
-        """Replace every partition that ``df`` has rows for; leave the others alone."""
-        counted, rows = _counted(_laid_out(df, [column]))
-        (
-            counted.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(column)
-            .parquet(self.path(name))
-        )
-        return WriteResult("replaced", rows())
+        """Replace every partition that ``df`` has rows for; leave the others alone.
+
+        The rows are staged first, so ``df`` may read the same table.
+        """
+        rows = stage(df, "partitions")
+        self._swap(name, rows.hint("rebalance", column), column)
+        return WriteResult("replaced", rows.count())
 
     def upsert(
         self,
@@ -129,15 +118,13 @@ class TableStore:
         target = self.read(name)
         if set(source.columns) - set(target.columns) and on_new_columns == "recreate":
             return WriteResult("recreated", self.overwrite(name, source, [partition]).rows)
-        merged = mutation.upsert(target, source, keys, partition)
-        self.replace_partitions(name, stage(merged, "upsert"), partition)
+        self.replace_partitions(name, mutation.upsert(target, source, keys, partition), partition)
         return WriteResult("merged", source.count())
 
     def insert_new(self, name: str, source: DataFrame, keys: Sequence[str]) -> WriteResult:
         """Insert-only MERGE: rows whose key is absent are appended, the rest ignored."""
         self.create_if_absent(name, source)
-        fresh = mutation.rows_to_insert(self.read(name), source, keys)
-        return self.append(name, stage(fresh, "insert"))
+        return self._append_staged(name, mutation.rows_to_insert(self.read(name), source, keys))
 
     def seed(self, name: str, df: DataFrame, source_type: str) -> WriteResult:
         """Load a source once: created, appended, or skipped when its rows are there."""
@@ -147,9 +134,7 @@ class TableStore:
         if "_source_type" in current.columns:
             current = current.where(F.col("_source_type") == source_type)
         existing = current.count()
-        if existing:
-            return WriteResult("skipped", existing)
-        return self.append(name, df)
+        return WriteResult("skipped", existing) if existing else self._append_staged(name, df)
 
     def publish_once(self, name: str, batch: DataFrame) -> WriteResult:
         """Write-once batch: created, unchanged when identical, else ``WriteConflict``."""
@@ -166,41 +151,36 @@ class TableStore:
         df.createOrReplaceTempView(view_name)
         return self.spark.table(view_name)
 
+    def _append_staged(self, name: str, df: DataFrame) -> WriteResult:
+        rows = stage(df, "append")
+        self.append(name, rows)
+        return WriteResult("appended", rows.count())
 
-def land_json_by_day(df: DataFrame, path: str, date_column: str) -> None:
-    """Append JSON lines below ``year=/month=/day=`` folders of the event date."""
-    day = F.col(date_column).cast("date")
-    (
-        df.withColumns(
-            {
-                "year": F.date_format(day, "yyyy"),
-                "month": F.date_format(day, "MM"),
-                "day": F.date_format(day, "dd"),
-            }
+    def _swap(self, name: str, rows: DataFrame, column: str) -> None:
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(column)
+            .parquet(self.path(name))
         )
-        .write.partitionBy("year", "month", "day")
-        .mode("append")
-        .json(path)
-    )
 
+    def _stored_rows(self, name: str, like: DataFrame) -> int:
+        """Rows of a table just written, answered from the parquet footers."""
+        return self.read(name, like.schema).count()
 
-def _writer(df: DataFrame, partition_by: Sequence[str]):
-    return df.write.partitionBy(*partition_by) if partition_by else df.write
 
-
-def _laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Bring rows of a partition together, so that not every task writes to every folder.
-
-    Adaptive execution splits a partition that is too large for one task.
-    """
-    return df.hint("rebalance", *partition_by) if partition_by else df
+def land_json_by_day(df: DataFrame, path: str, date_column: str) -> None:
+    """Append JSON lines below ``year=/month=/day=`` folders of the event date."""
+    day = F.col(date_column).cast("date")
+    parts = {"year": F.date_format(day, "yyyy"), "month": F.date_format(day, "MM"), "day": F.date_format(day, "dd")}
+    _writer(df.withColumns(parts), list(parts)).mode("append").json(path)
 
 
-def _counted(df: DataFrame):
-    """Count rows while they are written, so no second evaluation is needed.
+def _writer(df: DataFrame, partition_by: Sequence[str]):
+    """A writer that brings the rows of a folder together, so few tasks write to each.
 
-    The count sits in the writing stage, where Spark counts each task once even if it
-    is repeated.
+    Adaptive execution splits a folder that is too large for one task.
     """
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("n")), lambda: int(seen.get.get("n", 0))
+    if not partition_by:
+        return df.write
+    return df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
