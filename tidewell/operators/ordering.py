@@ -72,13 +72,14 @@ def quantile_columns(
     Rank k of n (from 0) is the smallest value whose running weight exceeds k, so
     each point needs two conditional minimums and no sorting of the group.
     """
+    total, upto = f"all_{weight}", f"cum_{weight}"
     out = []
     for i, p in enumerate(points):
-        position = (F.col(f"all_{weight}") - 1) * F.lit(float(p))
-        low = F.min(F.when(F.col(f"cum_{weight}") > F.floor(position), F.col(value)))
-        high = F.min(F.when(F.col(f"cum_{weight}") > F.ceil(position), F.col(value)))
-        share = F.max(position - F.floor(position))
-        out.append((low + (high - low) * share).alias(f"{prefix}{i}"))
+        position = f"(({total} - 1) * {float(p)!r}D)"
+        low = f"min({value}) FILTER (WHERE {upto} > floor({position}))"
+        high = f"min({value}) FILTER (WHERE {upto} > ceil({position}))"
+        share = f"max({position} - floor({position}))"
+        out.append(F.expr(f"{low} + ({high} - {low}) * {share} AS {prefix}{i}"))
     return out
 
 

@@ -169,15 +169,15 @@ def _with_probability(model: PipelineModel, filled: DataFrame) -> DataFrame:
     return model.transform(filled).select(*keep, p.alias(PROBABILITY))
 
 
-def _stored(model: PipelineModel, spark) -> PipelineModel:
-    """Save to the shared scratch folder and load again.
+def _without_summary(fitted, spark):
+    """Save a fitted classifier to the shared scratch folder and load it again.
 
     A loaded model has no training summary. A summary refers to the session, which
     cannot always be serialised with the tasks that score.
     """
     path = scratch_path(spark, "model")
-    model.save(path)
-    return PipelineModel.load(path)
+    fitted.save(path)
+    return type(fitted).load(path)
 
 
 def _scored(model: PipelineModel, filled: DataFrame, label: str) -> DataFrame:
@@ -215,7 +215,9 @@ def train_and_compare(
     balance = evaluation.class_balance(data, label).first()
     if balance.classes != 2:
         raise TrainingError("training needs both classes")
-    folded = split.stratified_split(data.withColumn(label, F.col(label).cast("int")), label, key, seed)
+    typed = data.withColumn(label, F.col(label).cast("int"))
+    # Written once by fold: every later step reads only the fold it needs.
+    folded = stage(split.stratified_split(typed, label, key, seed), "folds", ["fold"])
     train = folded.where(F.col("fold") == "train")
     sizes = evaluation.class_balance(train, label).first()
     if not sizes.positives or not sizes.negatives:
@@ -231,7 +233,8 @@ def train_and_compare(
     rows, models = [], {}
     try:
         for c in candidates or default_candidates(label, seed=seed):
-            fitted = _stored(PipelineModel(stages=[*prepared.stages, c.estimator.fit(ready_vectors)]), spark)
+            classifier = _without_summary(c.estimator.fit(ready_vectors), spark)
+            fitted = PipelineModel(stages=[*prepared.stages, classifier])
             found = evaluation.ranking_metrics(
                 _scored(fitted, validation, label), label, PROBABILITY
             ).first()

@@ -71,26 +71,49 @@ def rate_by(df: DataFrame, group: str, label: str) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair as (feature_x, feature_y, correlation)."""
-    pairs = [(x, y) for x in columns for y in columns]
-    upper = {
-        frozenset((x, y)): F.corr(F.col(x).cast("double"), F.col(y).cast("double"))
+    """Pearson correlation of every column pair as (feature_x, feature_y, correlation).
+
+    A pair uses the rows where both values are present; a constant column gives null.
+    Works on sums of products of values shifted by the column means: the means come
+    from a first small pass, and plain sums cost a fraction of ``corr`` for all pairs.
+    """
+    number = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    seen = df.agg(
+        F.count("*").alias("n"),
+        *[F.avg(v).alias(f"m_{c}") for c, v in number.items()],
+        *[F.count(v).alias(f"n_{c}") for c, v in number.items()],
+    ).first()
+    means = [float(seen[f"m_{c}"] or 0.0) for c in columns]
+    full = [seen[f"n_{c}"] == seen["n"] for c in columns]
+    shifted = [f"(CAST(`{c}` AS DOUBLE) - {m!r}D)" for c, m in zip(columns, means)]
+
+    # SQL text, because the matrix needs many small expressions of a fixed shape.
+    sums = {"n": "count(*)"}
+    pairs = [f"1.0D AS r_{i}_{i}" for i in range(len(columns))]
+    for i, vi in enumerate(shifted):
+        for j in range(i + 1, len(columns)):
+            vj = shifted[j]
+            p = f"p_{i}_{j}"
+            sums[p] = f"sum({vi} * {vj})"
+            if full[i] and full[j]:
+                n, x, y = "n", (f"s_{i}", f"q_{i}"), (f"s_{j}", f"q_{j}")
+                present = "true"
+            else:
+                n, x, y = f"n_{p}", (f"sx_{p}", f"qx_{p}"), (f"sy_{p}", f"qy_{p}")
+                present = f"{vi} IS NOT NULL AND {vj} IS NOT NULL"
+                sums[n] = f"count_if({present})"
+            for (s, q), v in ((x, vi), (y, vj)):
+                sums[s] = f"sum({v}) FILTER (WHERE {present})"
+                sums[q] = f"sum({v} * {v}) FILTER (WHERE {present})"
+            spread = f"sqrt(({n} * {x[1]} - {x[0]} * {x[0]}) * ({n} * {y[1]} - {y[0]} * {y[0]}))"
+            pairs.append(f"try_divide({n} * {p} - {x[0]} * {y[0]}, {spread}) AS r_{i}_{j}")
+    cells = ", ".join(
+        f"named_struct('feature_x', '{x}', 'feature_y', '{y}', 'correlation', r_{min(i, j)}_{max(i, j)})"
         for i, x in enumerate(columns)
-        for y in columns[i + 1 :]
-    }
-    names = {k: f"c{i}" for i, k in enumerate(upper)}
-    wide = df.agg(*[c.alias(names[k]) for k, c in upper.items()])
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(x).alias("feature_x"),
-                F.lit(y).alias("feature_y"),
-                (F.lit(1.0) if x == y else F.col(names[frozenset((x, y))])).alias("correlation"),
-            )
-            for x, y in pairs
-        ]
+        for j, y in enumerate(columns)
     )
-    return wide.select(F.inline(cells))
+    totals = df.agg(*[F.expr(f"{value} AS {name}") for name, value in sums.items()])
+    return totals.selectExpr(*pairs).selectExpr(f"inline(array({cells}))")
 
 
 def box_summary(df: DataFrame, value: str, label: str) -> DataFrame:

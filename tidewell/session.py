@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,8 @@ def build_session(app_name: str = "tidewell", master: str | None = None, **conf)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.parquet.filterPushdown", "true")
+        # Recording the call site of every column expression multiplies planning time.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -48,7 +51,7 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{scratch_root(spark)}/tidewell/{app}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
+def stage(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to the scratch folder and return a scan of the copy.
 
     Later readers see exactly these rows even if an executor is lost, which
@@ -57,8 +60,9 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
 
 
 def clear_scratch(spark: SparkSession) -> bool:
