@@ -125,7 +125,6 @@ def numeric_drift(
     comparable = (F.col("baseline_count") > 0) & (F.col("current_count") > 0)
     measured = sums.select(
         F.col("feature").alias("feature_name"),
-        F.lit("numeric").alias("feature_type"),
         F.when(comparable & (F.col("n_edges") >= 2), psi).otherwise(F.lit(0.0)).alias("psi"),
         F.when(comparable, F.col("ks")).otherwise(F.lit(0.0)).alias("ks_statistic"),
         F.try_divide("sum_base", "baseline_count").alias("baseline_mean"),
@@ -133,7 +132,7 @@ def numeric_drift(
         "baseline_count",
         "current_count",
     )
-    return _with_absent(measured, columns, "numeric", 0.0)
+    return _for_each(columns, measured, "numeric", 0.0)
 
 
 def categorical_drift(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -159,7 +158,6 @@ def categorical_drift(baseline: DataFrame, current: DataFrame, columns: Sequence
     none = F.lit(None).cast("double")
     shaped = measured.select(
         F.col("feature").alias("feature_name"),
-        F.lit("categorical").alias("feature_type"),
         F.coalesce("psi", F.lit(0.0)).alias("psi"),
         none.alias("ks_statistic"),
         none.alias("baseline_mean"),
@@ -167,26 +165,23 @@ def categorical_drift(baseline: DataFrame, current: DataFrame, columns: Sequence
         "baseline_count",
         "current_count",
     )
-    return _with_absent(shaped, columns, "categorical", None)
+    return _for_each(columns, shaped, "categorical", None)
 
 
-def _with_absent(measured: DataFrame, columns: Sequence[str], kind: str, ks: float | None) -> DataFrame:
-    """Add a zero row for each column without a single value on either side."""
+def _for_each(columns: Sequence[str], measured: DataFrame, kind: str, ks: float | None) -> DataFrame:
+    """One row per column, with zeros for a column that has no value on either side."""
     names = F.array(*[F.lit(c) for c in columns])
     listed = measured.sparkSession.range(1).select(F.explode(names).alias("feature_name"))
-    absent = listed.join(measured.select("feature_name"), "feature_name", "left_anti")
-    none = F.lit(None).cast("double")
-    return measured.unionByName(
-        absent.select(
-            "feature_name",
-            F.lit(kind).alias("feature_type"),
-            F.lit(0.0).alias("psi"),
-            F.lit(ks).cast("double").alias("ks_statistic"),
-            none.alias("baseline_mean"),
-            none.alias("current_mean"),
-            F.lit(0).cast("bigint").alias("baseline_count"),
-            F.lit(0).cast("bigint").alias("current_count"),
-        )
+    # One row per column on both sides.
+    return listed.join(F.broadcast(measured), "feature_name", "left").select(
+        "feature_name",
+        F.lit(kind).alias("feature_type"),
+        F.when(F.col("baseline_count").isNull(), F.lit(0.0)).otherwise(F.col("psi")).alias("psi"),
+        F.coalesce("ks_statistic", F.lit(ks).cast("double")).alias("ks_statistic"),
+        "baseline_mean",
+        "current_mean",
+        F.coalesce("baseline_count", F.lit(0)).alias("baseline_count"),
+        F.coalesce("current_count", F.lit(0)).alias("current_count"),
     )
 
 

@@ -29,17 +29,12 @@ def customer_kpis(
     label: str = "churned",
 ) -> DataFrame:
     """Distinct customers, average tenure and charges, and the labelled churn rate."""
-    cards = snapshots.agg(
+    rate = training.agg(share(F.col(label) == 1).alias("churn_rate"))
+    return snapshots.agg(
         F.countDistinct(entity).alias("total_customers"),
         F.avg(tenure).alias("avg_tenure"),
         F.avg(charge).alias("avg_monthly_charges"),
-    )
-    rate = training.agg(share(F.col(label) == 1).alias("churn_rate"))
-    # Both sides are one-row aggregates.
-    one = F.lit(1).alias("_one")
-    return (
-        cards.select("*", one).join(F.broadcast(rate.select("*", one)), "_one").drop("_one")
-    )
+    ).select("*", rate.scalar().alias("churn_rate"))
 
 
 def binned_by_label(df: DataFrame, value: str, width: float, top: int | None, label: str) -> DataFrame:

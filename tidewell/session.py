@@ -20,6 +20,11 @@ def build_session(app_name: str = "tidewell", master: str | None = None, **conf)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.parquet.filterPushdown", "true")
+        # Streaming state on local disk instead of executor memory, checkpointed as usual.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
         # Recording the call site of every column expression multiplies planning time.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
