@@ -78,7 +78,7 @@ def customer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_add(F.to_date("o_orderdate"), 8401)
     per_day = o.groupBy("o_custkey", day.alias("snapshot_date")).agg(
         F.count("*").cast("int").alias("tenure"),
-        F.round(F.max("o_totalprice") / 1000, 2).alias("monthly_charges"),
+        (F.max("o_totalprice") / 1000).alias("monthly_charges"),
         F.max("o_totalprice").alias("total_charges"),
         F.max("o_orderpriority").alias("payment_method"),
         F.max("o_orderstatus").alias("contract"),
@@ -107,7 +107,7 @@ snap AS (
          CAST(c_nationkey % 2 AS INTEGER) AS senior_citizen, churn_label
   FROM (
     SELECT o_custkey, CAST(o_orderdate AS DATE) + 8401 AS snapshot_date, CAST(count(*) AS INTEGER) AS tenure,
-           round(max(o_totalprice) / 1000, 2) AS monthly_charges, max(o_totalprice) AS total_charges,
+           max(o_totalprice) / 1000 AS monthly_charges, max(o_totalprice) AS total_charges,
            max(o_orderpriority) AS payment_method, max(o_orderstatus) AS contract,
            max(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS churn_label
     FROM orders GROUP BY ALL
@@ -178,14 +178,14 @@ def scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         F.col("o_orderpriority").alias("model_version"),
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("label"),
-        F.round(F.col("o_totalprice") / 600000, 4).alias("score"),
+        (F.floor(F.col("o_totalprice") / 60) / 10000).alias("score"),
     )
 
 
 SCORED_ORDERS = """
 so AS (
   SELECT o_orderkey, o_orderpriority AS model_version, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label,
-         round(o_totalprice / 600000, 4) AS score FROM orders
+         floor(o_totalprice / 60) / 10000 AS score FROM orders
 )"""
 
 # Coefficients of the linear model that the scoring queries use.
