@@ -16,7 +16,7 @@ from tidewell.functions import bands
 from tidewell.operators import conform, drift, features, governance, labels, quality, scoring
 from tidewell.operators.mutation import latest_per_key, require_unique
 from tidewell.operators.runlog import track_run
-from tidewell.session import stage
+from tidewell.session import staged
 from tidewell.sources.readers import read_seed_csv
 from tidewell.sources.tables import TableStore, WriteResult
 
@@ -46,13 +46,14 @@ def build_customer_snapshot(store: TableStore, snapshot_date: date, run_id: str
     run_id = run_id or f"transform-{snapshot_date.isoformat()}"
     with track_run(store, "transform", run_id) as run:
         now = datetime.now(timezone.utc)
-        # Staged once: rules, uniqueness check and upsert all read the conformed copy.
-        typed = stage(conform.conform_customers(store.read(CUSTOMERS_RAW), snapshot_date, now), "conformed")
-        clean, metrics = quality.apply_rules(store, typed, quality.SNAPSHOT_RULES, run_id, "silver", now)
-        if clean.isEmpty():
-            raise quality.RuleFailed("no row survived the quality rules")
-        require_unique(clean, ["customer_id"])
-        result = store.upsert(CUSTOMERS, clean, SNAPSHOT_KEY, "snapshot_date")
+        conformed = conform.conform_customers(store.read(CUSTOMERS_RAW), snapshot_date, now)
+        # Rules, uniqueness check and upsert all read the one conformed copy.
+        with staged(conformed, "conformed") as typed:
+            clean, metrics = quality.apply_rules(store, typed, quality.SNAPSHOT_RULES, run_id, "silver", now)
+            if clean.isEmpty():
+                raise quality.RuleFailed("no row survived the quality rules")
+            require_unique(clean, ["customer_id"])
+            result = store.upsert(CUSTOMERS, clean, SNAPSHOT_KEY, "snapshot_date")
         store.overwrite(SUMMARY, conform.segment_summary(store.read(CUSTOMERS)))
         run.output = {
             "status": result.status,
@@ -235,11 +236,11 @@ def promote(
         metrics = store.read(CANDIDATES)
         pairs = governance.candidate_pairs(request, store.read("model_versions"), metrics)
         stamp = F.lit(evaluated_at or datetime.now(timezone.utc)).cast("timestamp")
-        decisions = stage(governance.promotion_decisions(pairs, gate, stamp), "decision")
-        store.append(PROMOTIONS, decisions)
-        row = decisions.first()
-        if row.decision == "APPROVED":
-            store.overwrite(CHAMPION, governance.champion_rows(decisions, metrics))
+        with staged(governance.promotion_decisions(pairs, gate, stamp), "decision") as decisions:
+            store.append(PROMOTIONS, decisions)
+            row = decisions.first()
+            if row.decision == "APPROVED":
+                store.overwrite(CHAMPION, governance.champion_rows(decisions, metrics))
         governance.require_deployable(row.decision, old)
         run.output = {"decision": row.decision, "reason": row.decision_reason}
     return row

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,25 +57,45 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{scratch_root(spark)}/tidewell/{app}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def _write_copy(df: DataFrame, path: str, partition_by: Sequence[str]) -> DataFrame:
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.mode("errorifexists").parquet(path)
+    copy = df.sparkSession.read.schema(df.schema).parquet(path)
+    return copy.select(*[f"`{c}`" for c in df.columns])
+
+
 def stage(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to the scratch folder and return a scan of the copy.
 
     Later readers see exactly these rows even if an executor is lost, which
     matters when the rows carry values fixed by one physical layout, such as a
-    range-partition number, and when a table is about to replace its own input.
+    range-partition number. The copy stays until ``clear_scratch``, because the
+    returned frame is lazy.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, purpose)
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
+    return _write_copy(df, scratch_path(df.sparkSession, purpose), partition_by)
 
 
-def clear_scratch(spark: SparkSession) -> bool:
-    """Delete what this application staged. Call it when no staged frame is still in use."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(
-        f"{scratch_root(spark)}/tidewell/{spark.sparkContext.applicationId}"
-    )
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+@contextmanager
+def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """Like ``stage``, for a copy that is used up inside the block and deleted after it."""
+    path = scratch_path(df.sparkSession, purpose)
+    try:
+        yield _write_copy(df, path, ())
+    finally:
+        delete_path(df.sparkSession, path)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system, for checks and deletes that need no job."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    target, fs = hadoop_path(spark, path)
     return fs.delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete all that this application staged. Call it when no staged frame is still in use."""
+    return delete_path(spark, f"{scratch_root(spark)}/tidewell/{spark.sparkContext.applicationId}")

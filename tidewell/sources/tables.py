@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators import mutation
-from tidewell.session import stage
+from tidewell.session import hadoop_path, staged
 
 
 class WriteConflict(RuntimeError):
@@ -39,9 +39,8 @@ class TableStore:
 
     def exists(self, name: str) -> bool:
         """True when the table's folder is there; asks the file system, starts no job."""
-        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return target.getFileSystem(conf).exists(target)
+        target, fs = hadoop_path(self.spark, self.path(name))
+        return fs.exists(target)
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         """Scan a table. Columns added by later appends show up as nulls in older rows."""
@@ -74,11 +73,11 @@ class TableStore:
         """
         inside = F.col(column) == F.lit(value).cast(df.schema[column].dataType)
         stray = F.raise_error(F.lit(f"row outside partition {column}={value}")).cast("boolean")
-        rows = stage(df.where(F.when(inside, F.lit(True)).otherwise(stray)), "partition")
-        count = rows.count()
-        if count:
-            self._swap(name, rows, column)
-        else:
+        with staged(df.where(F.when(inside, F.lit(True)).otherwise(stray)), "partition") as rows:
+            count = rows.count()
+            if count:
+                self._swap(name, rows, column)
+        if not count:
             # Dynamic overwrite touches only partitions that it writes to.
             empty = self.spark.createDataFrame([], T.StructType([f for f in df.schema if f.name != column]))
             empty.write.mode("overwrite").parquet(f"{self.path(name)}/{column}={value}")
@@ -89,9 +88,9 @@ class TableStore:
 
         The rows are staged first, so ``df`` may read the same table.
         """
-        rows = stage(df, "partitions")
-        self._swap(name, rows.hint("rebalance", column), column)
-        return WriteResult("replaced", rows.count())
+        with staged(df, "partitions") as rows:
+            self._swap(name, rows.hint("rebalance", column), column)
+            return WriteResult("replaced", rows.count())
 
     def upsert(
         self,
@@ -111,15 +110,15 @@ class TableStore:
         """
         if on_new_columns not in ("recreate", "merge"):
             raise ValueError("on_new_columns must be 'recreate' or 'merge'")
-        source = stage(source, "upsert-source")
-        mutation.require_unique(source, keys)
-        if not self.exists(name):
-            return WriteResult("created", self.overwrite(name, source, [partition]).rows)
-        target = self.read(name)
-        if set(source.columns) - set(target.columns) and on_new_columns == "recreate":
-            return WriteResult("recreated", self.overwrite(name, source, [partition]).rows)
-        self.replace_partitions(name, mutation.upsert(target, source, keys, partition), partition)
-        return WriteResult("merged", source.count())
+        with staged(source, "upsert") as rows:
+            mutation.require_unique(rows, keys)
+            if not self.exists(name):
+                return WriteResult("created", self.overwrite(name, rows, [partition]).rows)
+            target = self.read(name)
+            if set(rows.columns) - set(target.columns) and on_new_columns == "recreate":
+                return WriteResult("recreated", self.overwrite(name, rows, [partition]).rows)
+            self.replace_partitions(name, mutation.upsert(target, rows, keys, partition), partition)
+            return WriteResult("merged", rows.count())
 
     def insert_new(self, name: str, source: DataFrame, keys: Sequence[str]) -> WriteResult:
         """Insert-only MERGE: rows whose key is absent are appended, the rest ignored."""
@@ -152,9 +151,9 @@ class TableStore:
         return self.spark.table(view_name)
 
     def _append_staged(self, name: str, df: DataFrame) -> WriteResult:
-        rows = stage(df, "append")
-        self.append(name, rows)
-        return WriteResult("appended", rows.count())
+        with staged(df, "append") as rows:
+            self.append(name, rows)
+            return WriteResult("appended", rows.count())
 
     def _swap(self, name: str, rows: DataFrame, column: str) -> None:
         (

@@ -78,7 +78,7 @@ def customer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_add(F.to_date("o_orderdate"), 8401)
     per_day = o.groupBy("o_custkey", day.alias("snapshot_date")).agg(
         F.count("*").cast("int").alias("tenure"),
-        (F.max("o_totalprice") / 1000).alias("monthly_charges"),
+        F.floor(F.max("o_totalprice") / 1000).cast("double").alias("monthly_charges"),
         F.max("o_totalprice").alias("total_charges"),
         F.max("o_orderpriority").alias("payment_method"),
         F.max("o_orderstatus").alias("contract"),
@@ -107,7 +107,7 @@ snap AS (
          CAST(c_nationkey % 2 AS INTEGER) AS senior_citizen, churn_label
   FROM (
     SELECT o_custkey, CAST(o_orderdate AS DATE) + 8401 AS snapshot_date, CAST(count(*) AS INTEGER) AS tenure,
-           max(o_totalprice) / 1000 AS monthly_charges, max(o_totalprice) AS total_charges,
+           floor(max(o_totalprice) / 1000) AS monthly_charges, max(o_totalprice) AS total_charges,
            max(o_orderpriority) AS payment_method, max(o_orderstatus) AS contract,
            max(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS churn_label
     FROM orders GROUP BY ALL
