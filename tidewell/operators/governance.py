@@ -301,10 +301,10 @@ def roll_back(store, model_name: str, target_version: str, evaluated_at: datetim
     """
     spark = store.spark
     request = spark.createDataFrame([(model_name, target_version)], "model_name string, target_version string")
-    history = store.read("model_promotion_history")
+    history = store.read("model_promotion_history", merge=True)
     champions = current_champion(history)
     checks = rollback_checks(
-        request, store.read("model_versions"), store.read("model_candidate_metrics"), champions
+        request, store.read("model_versions"), store.read("model_candidate_metrics", merge=True), champions
     )
     row = checks.first()
     if row.problem:

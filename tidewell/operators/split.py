@@ -15,7 +15,9 @@ SEED = 996
 
 
 def split_digest(key: str, seed: int | str = SEED) -> Column:
-    return F.sha2(F.concat(F.lit(f"{seed}|"), keys.joined_text([key])), 256)
+    digest = F.sha2(F.concat(F.lit(f"{seed}|"), keys.joined_text([key])), 256)
+    # Never null; saying so spares a null check that would hash every key again.
+    return F.coalesce(digest, F.lit(""))
 
 
 def stratified_split(

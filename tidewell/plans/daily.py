@@ -170,14 +170,14 @@ def current_customers(store: TableStore) -> DataFrame:
 def champion_for_scoring(store: TableStore, model_name: str):
     """Version, contract and metrics of the serving model, checked; one row."""
     champion = (
-        governance.current_champion(store.read(PROMOTIONS)).where(F.col("model_name") == model_name).first()
+        governance.current_champion(store.read(PROMOTIONS, merge=True)).where(F.col("model_name") == model_name).first()
     )
     if champion is None:
         raise governance.PromotionBlocked("there is no champion; promote an approved candidate first")
     if champion.champion_contract != governance.INFERENCE_CONTRACT:
         raise governance.PromotionBlocked(f"champion {champion.champion_version} has a legacy contract")
     metrics = (
-        governance.latest_metrics(store.read(CANDIDATES))
+        governance.latest_metrics(store.read(CANDIDATES, merge=True))
         .where(F.col("model_version") == champion.champion_version)
         .first()
     )
@@ -226,14 +226,14 @@ def promote(
     with track_run(store, "promote", f"promote-v{candidate_version}") as run:
         champion = None
         if store.exists(PROMOTIONS):
-            serving = governance.current_champion(store.read(PROMOTIONS))
+            serving = governance.current_champion(store.read(PROMOTIONS, merge=True))
             champion = serving.where(F.col("model_name") == model_name).first()
         old = champion.champion_version if champion else None
         request = spark.createDataFrame(
             [(model_name, candidate_version, old)],
             "model_name string, candidate_version string, champion_version string",
         )
-        metrics = store.read(CANDIDATES)
+        metrics = store.read(CANDIDATES, merge=True)
         pairs = governance.candidate_pairs(request, store.read("model_versions"), metrics)
         stamp = F.lit(evaluated_at or datetime.now(timezone.utc)).cast("timestamp")
         with staged(governance.promotion_decisions(pairs, gate, stamp), "decision") as decisions:

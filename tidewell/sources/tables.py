@@ -42,10 +42,15 @@ class TableStore:
         target, fs = hadoop_path(self.spark, self.path(name))
         return fs.exists(target)
 
-    def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
-        """Scan a table. Columns added by later appends show up as nulls in older rows."""
-        reader = self.spark.read.schema(schema) if schema else self.spark.read.option("mergeSchema", "true")
-        return reader.parquet(self.path(name))
+    def read(self, name: str, schema: T.StructType | None = None, merge: bool = False) -> DataFrame:
+        """Scan a table.
+
+        ``merge`` unites the schemas of all files, so that columns added by later
+        appends show up, as nulls in older rows. It reads every footer; use it for
+        tables whose schema has grown, or pass the schema.
+        """
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        return reader.option("mergeSchema", str(merge).lower()).parquet(self.path(name))
 
     def overwrite(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> WriteResult:
         """Replace rows and schema. ``df`` must not read from this table."""
@@ -55,7 +60,7 @@ class TableStore:
         return WriteResult("overwritten", self._stored_rows(name, df))
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> WriteResult:
-        """Add rows. New columns are allowed; ``read`` merges the file schemas."""
+        """Add rows. New columns are allowed; read them with ``merge=True``."""
         _writer(df, partition_by).mode("append").parquet(self.path(name))
         return WriteResult("appended")
 
@@ -106,7 +111,7 @@ class TableStore:
         are read and rewritten. Source and merged rows are staged, so the source is
         evaluated once and the target is not overwritten while it is read. When the
         source brings new columns the table is recreated from it; with
-        ``on_new_columns="merge"`` old rows are kept and read as null there.
+        ``on_new_columns="merge"`` old rows are kept and hold null there.
         """
         if on_new_columns not in ("recreate", "merge"):
             raise ValueError("on_new_columns must be 'recreate' or 'merge'")
@@ -114,7 +119,7 @@ class TableStore:
             mutation.require_unique(rows, keys)
             if not self.exists(name):
                 return WriteResult("created", self.overwrite(name, rows, [partition]).rows)
-            target = self.read(name)
+            target = self.read(name, merge=on_new_columns == "merge")
             if set(rows.columns) - set(target.columns) and on_new_columns == "recreate":
                 return WriteResult("recreated", self.overwrite(name, rows, [partition]).rows)
             self.replace_partitions(name, mutation.upsert(target, rows, keys, partition), partition)

@@ -27,9 +27,7 @@ def contract_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The number in ``props`` splits two of the types and sets status and severity.
     """
-    e = load(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
-    kind, value = F.col("event_type"), F.col("value")
+    k, kind, value = F.col("k"), F.col("event_type"), F.col("value")
     typed = (
         F.when(kind == "click", "usage")
         .when(kind == "view", "support_call")
@@ -37,17 +35,23 @@ def contract_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "signup", F.when(k < 50, "plan_change").otherwise("billing"))
         .otherwise(F.when(k < 50, "complaint").otherwise("cancellation"))
     )
+    # Stepwise, so that the JSON field and the type are worked out once per row.
+    e = (
+        load(spark, sf_dir, "events")
+        .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+        .withColumn("event_type", typed)
+    )
     return e.select(
         F.lit(1).alias("schema_version"),
         "event_id",
-        typed.alias("event_type"),
+        "event_type",
         F.col("ts").alias("event_ts"),
         F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("customer_id"),
-        F.when(typed.isin("payment", "billing"), value).alias("amount"),
-        F.when(typed == "usage", value).alias("usage_gb"),
-        F.when(typed == "payment", F.when(k % 4 == 0, "failed").otherwise("succeeded")).alias("payment_status"),
-        F.when(typed == "complaint", F.when(k % 2 == 0, "high").otherwise("medium")).alias("complaint_severity"),
-        k.alias("k"),
+        F.when(kind.isin("payment", "billing"), value).alias("amount"),
+        F.when(kind == "usage", value).alias("usage_gb"),
+        F.when(kind == "payment", F.when(k % 4 == 0, "failed").otherwise("succeeded")).alias("payment_status"),
+        F.when(kind == "complaint", F.when(k % 2 == 0, "high").otherwise("medium")).alias("complaint_severity"),
+        "k",
     )
 
 
