@@ -213,6 +213,8 @@ def test_training_end_to_end(spark):
     assert training.comparison_frame(spark, result).count() == 2
     metrics = training.candidate_metrics_frame(spark, result, "churn", "1")
     assert len(metrics.columns) == 18 and metrics.first().model_alias == "Candidate"
+    names = training.feature_importances(spark, result.model, df, result.algorithm)
+    assert names.count() >= 3 and names.first().importance >= 0
     unseen = spark.createDataFrame([("q", 1.0, "never seen", 0)], df.schema)
     assert 0 <= result.score(unseen).first().churn_probability <= 1
     with pytest.raises(training.TrainingError, match="both classes"):

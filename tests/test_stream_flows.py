@@ -4,8 +4,8 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.operators import features, labels, runlog
-from tidewell.plans import daily
+from tidewell.operators import features, labels, runlog, training
+from tidewell.plans import daily, modeling
 from tidewell.sources.contract import SEED_COLUMNS
 from tidewell.sources.readers import read_json_lines
 from tidewell.sources.contract import EVENT_CONTRACT
@@ -144,6 +144,41 @@ def test_whole_flow(spark, store, tmp_path):
     assert statuses["drift_monitor"] == "succeeded"
 
 
+def test_ingest_and_event_rules(spark, store, zone):
+    zone.land("a", line("e1"), line("e2", event_type="teleportation"), line("e3", rogue=1))
+    bronze = daily.ingest(store, zone.landing, zone.checkpoint)
+    clean = daily.check_events(store, bronze, "run-1")
+    assert sorted(r.event_id for r in clean.collect()) == ["e1", "e3"]
+    assert store.read("quarantine").first().violated_rule == "event_type_in_contract"
+    log = store.read(runlog.TABLE).first()
+    assert json.loads(log.output_summary)["rescued_rows"] == 1 and "warning" in log.output_summary
+
+
+def test_train_promote_and_score(spark, store):
+    rows = [
+        (f"c{i}", date(2026, 1, 1 + i % 3), float(i % 7 + 5 * (i % 4 == 0)), "m" if i % 3 else None, 10.0, i % 40,
+         int(i % 4 == 0))
+        for i in range(400)
+    ]
+    ddl = "customer_id string, snapshot_date date, usage double, contract string, monthly_charges double, tenure int, y int"
+    data = spark.createDataFrame(rows, ddl)
+    store.overwrite(daily.FEATURES, data.drop("y"), ["snapshot_date"])
+    store.overwrite(
+        daily.LABELS,
+        data.select("customer_id", "snapshot_date", F.col("y").alias("churned"), F.lit(30).alias("label_horizon_days"),
+                    F.date_add("snapshot_date", 30).alias("maturity_date")),
+        ["snapshot_date"],
+    )
+    result = modeling.train_candidate(store, "churn", "1", [training.single_tree("churned")])
+    assert result.test_metrics["test_recall"] > 0.6
+    assert daily.promote(store, "churn", "1").decision == "APPROVED"
+    modeling.score_with_champion(store, "churn", "run-1")
+    modeling.score_with_champion(store, "churn", "run-1")
+    current = spark.table("current_customer_churn_scores")
+    assert current.count() == 400 and current.first().selected_algorithm == "decision_tree"
+    assert store.read(daily.CHAMPION).first().model_alias == "Champion"
+
+
 def test_late_events_rebuild_their_snapshots(spark, store):
     e = events(spark)
     daily.backfill(store, e, date(2026, 1, 18), date(2026, 1, 22))

@@ -17,7 +17,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,14 +65,19 @@ class Imputation:
     numbers: Mapping[str, float]
     texts: Mapping[str, str]
 
-    def apply(self, df: DataFrame) -> DataFrame:
-        """Fill nulls. Filled numbers get ``<name>_filled`` as double."""
-        filled = {
-            f"{c}_filled": F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(float(v)))
+    def as_stage(self) -> SQLTransformer:
+        """A pipeline stage that adds ``<name>_filled`` columns, so a saved model carries its fills."""
+        filled = [
+            f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), NULL), {float(v)!r}D) AS `{c}_filled`"
             for c, v in self.numbers.items()
-        }
-        filled |= {f"{c}_filled": F.coalesce(F.col(c), F.lit(v)) for c, v in self.texts.items()}
-        return df.withColumns(filled)
+        ]
+        for c, v in self.texts.items():
+            quoted = v.replace("\\", "\\\\").replace("'", "\\'")
+            filled.append(f"coalesce(`{c}`, '{quoted}') AS `{c}_filled`")
+        return SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__")
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        return self.as_stage().transform(df)
 
 
 def learn_imputation(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> Imputation:
@@ -152,7 +157,6 @@ class TrainingResult:
     """The winner, its test metrics and one comparison row per candidate."""
 
     model: PipelineModel
-    imputation: Imputation
     algorithm: str
     threshold: float
     comparison: list[dict] = field(default_factory=list)
@@ -160,13 +164,13 @@ class TrainingResult:
 
     def score(self, df: DataFrame) -> DataFrame:
         """Add the positive-class probability as a plain double."""
-        return _with_probability(self.model, self.imputation.apply(df))
+        return with_probability(self.model, df)
 
 
-def _with_probability(model: PipelineModel, filled: DataFrame) -> DataFrame:
-    keep = [c for c in filled.columns if not c.endswith("_filled") and c != WEIGHT]
+def with_probability(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with the positive-class probability of a fitted model."""
     p = vector_to_array("probability").getItem(1)
-    return model.transform(filled).select(*keep, p.alias(PROBABILITY))
+    return model.transform(df).select(*df.columns, p.alias(PROBABILITY))
 
 
 def _without_summary(fitted, spark):
@@ -180,13 +184,13 @@ def _without_summary(fitted, spark):
     return type(fitted).load(path)
 
 
-def _scored(model: PipelineModel, filled: DataFrame, label: str) -> DataFrame:
+def _scored(model: PipelineModel, df: DataFrame, label: str) -> DataFrame:
     """Label and probability, written once, so the model runs once per row.
 
     A filter on the probability would otherwise be pushed below it and evaluate the
     model again for each condition.
     """
-    return stage(_with_probability(model, filled).select(label, PROBABILITY), "scored")
+    return stage(with_probability(model, df).select(label, PROBABILITY), "scored")
 
 
 def balance_weights(positives: int, negatives: int, label: str) -> Column:
@@ -224,8 +228,8 @@ def train_and_compare(
         raise TrainingError("the training fold lacks a class")
     imputation = learn_imputation(train, numeric, categorical)
     ready = imputation.apply(train).withColumn(WEIGHT, balance_weights(sizes.positives, sizes.negatives, label))
-    validation = imputation.apply(folded.where(F.col("fold") == "validation"))
-    test = imputation.apply(folded.where(F.col("fold") == "test"))
+    validation = folded.where(F.col("fold") == "validation")
+    test = folded.where(F.col("fold") == "test")
 
     stamp = trained_at or datetime.now(timezone.utc)
     prepared = Pipeline(stages=preprocessing_stages(numeric, categorical)).fit(ready)
@@ -234,7 +238,7 @@ def train_and_compare(
     try:
         for c in candidates or default_candidates(label, seed=seed):
             classifier = _without_summary(c.estimator.fit(ready_vectors), spark)
-            fitted = PipelineModel(stages=[*prepared.stages, classifier])
+            fitted = PipelineModel(stages=[imputation.as_stage(), *prepared.stages, classifier])
             found = evaluation.ranking_metrics(
                 _scored(fitted, validation, label), label, PROBABILITY
             ).first()
@@ -270,7 +274,7 @@ def train_and_compare(
         "test_positive_rate": counts.positive_rate,
         "test_rows": counts.rows,
     }
-    return TrainingResult(model, imputation, best["algorithm"], threshold, rows, metrics)
+    return TrainingResult(model, best["algorithm"], threshold, rows, metrics)
 
 
 def select_winner(comparison: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
@@ -321,11 +325,23 @@ def candidate_metrics_frame(
     return spark.createDataFrame([tuple(row.values())], ddl)
 
 
-def tree_importances(spark, model: PipelineModel, transformed: DataFrame, algorithm: str) -> DataFrame:
-    """Feature importances of a fitted tree model by vector slot name, largest first."""
-    weights = model.stages[-1].featureImportances.toArray().tolist()
-    attributes = transformed.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
-    names = {a["idx"]: a.get("name", str(a["idx"])) for group in attributes.values() for a in group}
-    rows = [(names.get(i, f"slot_{i}"), float(w), algorithm) for i, w in enumerate(weights)]
-    frame = spark.createDataFrame(rows, "feature string, importance double, selected_algorithm string")
+def feature_importances(spark, model: PipelineModel, sample: DataFrame, algorithm: str) -> DataFrame:
+    """Importance per vector slot of the fitted classifier, largest first.
+
+    Trees report their split importances, linear models the size and sign of the
+    weight of each standardised slot. ``sample`` only supplies the slot names; no row
+    of it is read.
+    """
+    classifier = model.stages[-1]
+    linear = hasattr(classifier, "coefficients")
+    weights = (classifier.coefficients if linear else classifier.featureImportances).toArray().tolist()
+    metadata = PipelineModel(stages=model.stages[:-1]).transform(sample).schema["features"].metadata
+    slots = metadata.get("ml_attr", {}).get("attrs", {})
+    names = {a["idx"]: a.get("name", str(a["idx"])) for group in slots.values() for a in group}
+    rows = [
+        (names.get(i, f"slot_{i}"), abs(w), w if linear else None, algorithm) for i, w in enumerate(weights)
+    ]
+    frame = spark.createDataFrame(
+        rows, "feature string, importance double, signed_weight double, selected_algorithm string"
+    )
     return frame.orderBy(F.desc("importance"), "feature")

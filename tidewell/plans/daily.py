@@ -19,7 +19,10 @@ from tidewell.operators.runlog import track_run
 from tidewell.session import staged
 from tidewell.sources.readers import read_seed_csv
 from tidewell.sources.tables import TableStore, WriteResult
+from tidewell.streaming.ingest import IngestSettings, ingest_events, ingest_summary
 
+EVENTS = "events_bronze"
+REJECTS = "events_rejected"
 CUSTOMERS_RAW = "customer_bronze"
 CUSTOMERS = "customer_silver"
 SUMMARY = "churn_summary"
@@ -41,6 +44,29 @@ def seed_customers(store: TableStore, csv_path: str) -> WriteResult:
     return result
 
 
+def ingest(store: TableStore, landing: str, checkpoint: str, settings: IngestSettings = IngestSettings()) -> DataFrame:
+    """Drain the landing folder into the bronze and reject tables; returns bronze."""
+    with track_run(store, "ingest_events") as run:
+        ingest_events(store.spark, landing, store.path(EVENTS), store.path(REJECTS), checkpoint, settings)
+        bronze = store.read(EVENTS)
+        summary = ingest_summary(bronze).first()
+        run.output = summary.asDict()
+        if summary.rescued_rows:
+            # The producer is ahead of the contract.
+            run.output["warning"] = "rows carry fields outside the contract"
+    return bronze
+
+
+def check_events(store: TableStore, events: DataFrame, run_id: str) -> DataFrame:
+    """Apply the event rules: quarantine and metrics to their tables, clean rows returned."""
+    clean, metrics = quality.apply_rules(store, events, quality.EVENT_RULES, run_id, "bronze_events")
+    total = metrics[0].total_rows
+    lost = sum(m.violating_rows for m in metrics if m.severity == "quarantine")
+    if total == lost:
+        raise quality.RuleFailed("no event survived the quality rules")
+    return clean
+
+
 def build_customer_snapshot(store: TableStore, snapshot_date: date, run_id: str | None = None) -> WriteResult:
     """Bronze to typed snapshot with quarantine, upsert, and the segment summary."""
     run_id = run_id or f"transform-{snapshot_date.isoformat()}"
