@@ -108,7 +108,7 @@ DAILY_SQL = f"""
 WITH {CONTRACT_EVENTS}, {SEED_ROWS},
 good AS (SELECT * FROM conformed WHERE churn_label IN (0, 1) AND senior_citizen IS NOT NULL AND monthly_charges IS NOT NULL AND tenure >= 0),
 f AS (SELECT customer_id, count(*) FILTER (WHERE event_type = 'payment' AND event_ts >= DATE '{AS_OF}' - 30) AS payment_count_30d,
-             date_diff('day', CAST(max(event_ts) AS DATE), DATE '{AS_OF}') AS days_since_last_activity
+             CAST(date_diff('day', CAST(max(event_ts) AS DATE), DATE '{AS_OF}') AS INTEGER) AS days_since_last_activity
       FROM ev WHERE event_ts < DATE '{AS_OF}' + 1 GROUP BY customer_id),
 l AS (SELECT DISTINCT customer_id, 1 AS hit FROM ev WHERE event_type = 'cancellation' AND event_ts >= DATE '{AS_OF}' + 1 AND event_ts < DATE '{AS_OF}' + 8)
 SELECT customer_id, DATE '{AS_OF}' AS snapshot_date, payment_count_30d, days_since_last_activity, tenure, internet_service,

@@ -152,8 +152,8 @@ QUERIES = {
     "write_once_check": (
         write_once_check,
         "WITH o AS (SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_custkey, o_orderstatus, "
-        "o_totalprice FROM orders WHERE o_orderstatus = 'P') SELECT *, 1 AS surplus FROM o UNION ALL "
-        "SELECT * REPLACE (o_totalprice + 1 AS o_totalprice), -1 FROM o",
+        "o_totalprice FROM orders WHERE o_orderstatus = 'P') SELECT *, CAST(1 AS BIGINT) AS surplus FROM o UNION ALL "
+        "SELECT * REPLACE (o_totalprice + 1 AS o_totalprice), CAST(-1 AS BIGINT) FROM o",
     ),
     "ordered_events": (ordered_events, "SELECT event_id, user_id, event_type FROM events"),
 }

@@ -47,7 +47,7 @@ def snapshot_sql(source: str, day: str, group: str) -> str:
         f"avg(usage_gb) FILTER (WHERE {usage} AND event_ts >= CAST({day} AS DATE) - 30) AS avg_usage_30d",
         f"avg(usage_gb) FILTER (WHERE {usage} AND event_ts >= CAST({day} AS DATE) - 60 "
         f"AND event_ts < CAST({day} AS DATE) - 30) AS avg_usage_prior_30d",
-        f"date_diff('day', CAST(max(event_ts) AS DATE), CAST({day} AS DATE)) AS days_since_last_activity",
+        f"CAST(date_diff('day', CAST(max(event_ts) AS DATE), CAST({day} AS DATE)) AS INTEGER) AS days_since_last_activity",
     ]
     return (
         f"SELECT {group}, {', '.join(counts + levels)} FROM {source} "
@@ -156,7 +156,7 @@ WITH f AS (
          arg_max(o_totalprice, (o_orderdate, o_orderkey)) FILTER (WHERE {finished}) AS last_price,
          avg(o_totalprice) FILTER (WHERE {finished} AND o_orderdate >= {cut} - 180) AS mean_price,
          avg(o_totalprice) FILTER (WHERE {finished} AND o_orderdate >= {cut} - 360 AND o_orderdate < {cut} - 180) AS prior_price,
-         date_diff('day', CAST(max(o_orderdate) AS DATE), {cut}) AS days_since_order
+         CAST(date_diff('day', CAST(max(o_orderdate) AS DATE), {cut}) AS INTEGER) AS days_since_order
   FROM orders WHERE o_orderdate < {cut} + 1 GROUP BY o_custkey)
 SELECT * REPLACE (round(mean_price, 6) AS mean_price, round(prior_price, 6) AS prior_price),
        CASE WHEN prior_price > 0 THEN round((mean_price - prior_price) / prior_price * 100, 6) END AS price_delta_pct,
