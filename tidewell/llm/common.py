@@ -5,9 +5,10 @@ from __future__ import annotations
 import posixpath
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.session import stage
@@ -53,6 +54,26 @@ def per_slice(
     return run
 
 
+def small_sample(df: DataFrame, digest: Column, rows: int) -> DataFrame:
+    """The ``rows`` rows with the smallest hashes; only a share of the hash range is ever looked at.
+
+    Hashes are uniform, so that a range with several times the rows wanted holds them. Rows that
+    repeat a digest can make it hold more; at most ``rows`` are returned.
+    """
+    place = F.pmod(digest, F.lit(1 << 40))
+    share = min(1.0, (4 * rows + 100) / max(1, df.count()))
+    return df.where(place < int(share * (1 << 40))).orderBy(place).limit(rows)
+
+
+def space_pieces(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Texts cut at each space: the distinct pieces, the piece numbers of all texts, and each text's first place."""
+    import pyarrow.compute as pc
+
+    pieces = pc.split_pattern(pa.array(texts, pa.string()), " ")
+    coded = pieces.values.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), pieces.offsets.to_numpy()
+
+
 def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a shared folder that tasks write plain files to."""
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("/") else uri.replace("file:", "file://", 1))
@@ -74,6 +95,18 @@ def write_file(folder: str, name: str, attempt: str, blocks: Iterable[bytes]) ->
     return posixpath.join(folder, f"{attempt}-{name}"), size
 
 
+def union(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+    """Join the sets of the given pairs, in place; ``label`` holds the smallest place of each one's set."""
+    while True:
+        a, b = label[left], label[right]
+        if not (apart := a != b).any():
+            return
+        left, right = left[apart], right[apart]
+        np.minimum.at(label, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
+        while not np.array_equal(up := label[label], label):
+            label[:] = up
+
+
 def components(edges: DataFrame, purpose: str) -> DataFrame:
     """Connected components of the undirected graph of ``edges`` (a, b): rows (node, component).
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import language, mixing, secrets, token_counts, token_store, warc
+from tidewell.llm import language, mixing, secrets, simhash, token_counts, token_store, vectors, warc
 from tidewell.llm.common import load
 from tidewell.session import scratch_path
 
@@ -44,6 +44,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(load(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -60,6 +64,10 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(load(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
@@ -108,5 +116,7 @@ QUERIES = {
     "op5_token_counts": (op5_token_counts, None),
     "op6_mixing": (op6_mixing, MIX_SQL),
     "op7_warc": (op7_warc, WARC_SQL),
+    "op8_vectors": (op8_vectors, None),
     "op9_secrets": (op9_secrets, None),
+    "op10_simhash": (op10_simhash, None),
 }

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import id_and_text, per_slice
+from tidewell.llm.common import id_and_text, per_slice, space_pieces
 
 SPACE = "▁"
 RUNS = re.compile(f"{SPACE}+[^{SPACE}]*")
@@ -115,23 +115,33 @@ class PieceCounter:
             sym, seq, owner = sym[live], seq[live], owner[live]
         return counts
 
-    def count(self, texts: list[str | None]) -> list[int]:
-        split = []
-        for t in texts:
-            if not t:
-                split.append([])
-            elif SPACE in t or "  " in t or t[0] == " " or t[-1] == " ":
-                split.append([x[1:] for x in RUNS.findall(SPACE + t.replace(" ", SPACE))])
-            else:
-                split.append(t.split(" "))
+    def _recall(self, pieces: list[str]) -> list[int]:
+        """Counts of distinct pre-tokens, each given without its first space mark."""
         if len(self.known) > self.memory:
             self.former, self.known = self.known, {}
-        absent = set().union(*split) - self.known.keys()
-        self.known.update((t, self.former[t]) for t in absent & self.former.keys())
-        new = list(absent - self.former.keys())
-        self.known.update(zip(new, self.merge_counts([SPACE + t for t in new]).tolist()))
-        get = self.known.__getitem__
-        return [sum(map(get, s)) for s in split]
+        known, former = self.known, self.former
+        new = [t for t in pieces if t not in known and t not in former]
+        known.update(zip(new, self.merge_counts([SPACE + t for t in new]).tolist()))
+        known.update((t, former[t]) for t in pieces if t not in known)
+        return list(map(known.__getitem__, pieces))
+
+    def count(self, texts: list[str | None]) -> list[int]:
+        counts = [0] * len(texts)
+        plain, odd = [], []
+        for i, t in enumerate(texts):
+            if t:
+                (odd if SPACE in t or "  " in t or t[0] == " " or t[-1] == " " else plain).append(i)
+        if plain:
+            pieces, code, first = space_pieces([texts[i] for i in plain])
+            sizes = np.array(self._recall(pieces), np.int64)[code]
+            for i, n in zip(plain, np.add.reduceat(sizes, first[:-1]).tolist()):
+                counts[i] = n
+        for i in odd:  # runs of spaces belong to one pre-token
+            runs = [x[1:] for x in RUNS.findall(SPACE + texts[i].replace(" ", SPACE))]
+            distinct = list(set(runs))
+            found = dict(zip(distinct, self._recall(distinct)))
+            counts[i] = sum(map(found.__getitem__, runs))
+        return counts
 
 
 @lru_cache(maxsize=1)

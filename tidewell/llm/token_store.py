@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewell.llm.common import id_and_text, open_folder, per_slice, write_file
+from tidewell.llm.common import id_and_text, open_folder, per_slice, small_sample, space_pieces, write_file
 from tidewell.session import stage
 
 MAGIC = b"TOKSTOR1"
@@ -32,6 +32,11 @@ SHARD_BYTES = 32 << 20
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 8_000, 64 << 10
 MANIFEST = "shard int, part int, path string, docs long, tokens long, bytes long"
 INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
+#: Byte-level alphabet: bytes without a visible character of their own have one from U+0100 on.
+VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+SHOWN = {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(VISIBLE)))}
+SPACE = SHOWN.pop(32)
+SHOWN.pop(10)
 #: Marks that end a word; none of them starts or joins a token of letters.
 TAILS = ",.;:!?"
 #: White space other than space and newline, in ASCII and beyond.
@@ -75,33 +80,65 @@ class Encoder:
         """Ids of new pieces; a word and the mark behind it are two tokens' ranges, so the word serves both."""
         marked = [t for t in new if t[-1:] in TAILS and t[:-1].isalpha()] if self.cut else []
         words = {t[:-1] for t in marked} - self.known.keys()
-        lone = list(words.union(new).difference(marked))
-        self.known.update(zip(lone, self._ids([" " + t for t in lone])))
+        lone = words.union(new).difference(marked)
+        # A word of Latin letters is one pre-token, so the model can be asked without the steps before it.
+        latin = [t for t in lone if t.isalpha() and (t.isascii() or max(t) < "\u0250")] if self.cut else []
+        ask, code = self.tokenizer.model.tokenize, self.code
+        for t, shown in zip(latin, "\n".join(latin).encode().decode("latin-1").translate(SHOWN).split("\n")):
+            self.known[t] = array(code, [x.id for x in ask(SPACE + shown)]).tobytes()
+        rest = list(lone.difference(latin))
+        self.known.update(zip(rest, self._ids([" " + t for t in rest])))
         for t in marked:
             self.known[t] = self.known[t[:-1]] + self.tails[t[-1]]
 
-    def _cut(self, text: str) -> list[str]:
-        """The pieces after single spaces, without the space; one piece where no cut is safe."""
+    def _plain(self, text: str) -> bool:
+        """Whether a token starts at each space of the text, all of which stand between other characters."""
         if not self.cut or any(s in text for s in self.special):
-            return [text]
+            return False
         if "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " ":
-            return INNER_SPACE.split(text)
-        if any(c in text for c in (RARE if text.isascii() else RARE_WIDE)):
-            return INNER_SPACE.split(text)
-        return text.split(" ")
+            return False
+        return not any(c in text for c in (RARE if text.isascii() else RARE_WIDE))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text and the end id, as little-endian bytes of ``width``."""
-        split = [self._cut(t or "") for t in texts]
-        heads = self._ids([s.pop(0) for s in split])
+    def _recall(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces, each given without the space before it."""
         if len(self.known) > self.memory:
             self.former, self.known = self.known, {}
-        absent = set().union(*split) - self.known.keys()
-        self.known.update((t, self.former[t]) for t in absent & self.former.keys())
-        new = list(absent - self.former.keys())
-        self._learn(new)
-        get = self.known.__getitem__
-        return [h + b"".join(map(get, s)) + self.end for h, s in zip(heads, split)]
+        known, former = self.known, self.former
+        self._learn([t for t in pieces if t not in known and t not in former])
+        known.update((t, former[t]) for t in pieces if t not in known)
+        return list(map(known.__getitem__, pieces))
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text and the end id, as little-endian bytes of ``width``."""
+        found = [self.end] * len(texts)
+        plain, odd = [], []
+        for i, t in enumerate(texts):
+            if t:
+                (plain if self._plain(t) else odd).append(i)
+        if plain:
+            pieces, code, first = space_pieces([texts[i] for i in plain])
+            heads = self._ids([texts[i].split(" ", 1)[0] for i in plain])
+            cells = self._recall(pieces) + heads
+            code = code.astype(np.int64)
+            code[first[:-1]] = len(pieces) + np.arange(len(plain))
+            size = np.fromiter(map(len, cells), np.int64, len(cells)) // self.width
+            start = np.cumsum(size) - size
+            ids = np.frombuffer(b"".join(cells), self.dtype)
+            sizes = size[code]
+            ends = np.cumsum(sizes)
+            out = ids[np.repeat(start[code] - (ends - sizes), sizes) + np.arange(ends[-1])]
+            stops = ends[first[1:] - 1].tolist()
+            for i, a, b in zip(plain, [0, *stops], stops):
+                found[i] = out[a:b].tobytes() + self.end
+        for i in odd:
+            if self.cut and not any(s in texts[i] for s in self.special):
+                head, *rest = INNER_SPACE.split(texts[i])
+                distinct = list(set(rest))
+                known = dict(zip(distinct, self._recall(distinct)))
+                found[i] = self._ids([head])[0] + b"".join(map(known.__getitem__, rest)) + self.end
+            else:
+                found[i] = self._ids([texts[i]])[0] + self.end
+        return found
 
 
 @lru_cache(maxsize=1)
@@ -115,7 +152,7 @@ def encoder(tokenizer: str, end_id: int) -> Encoder:
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int) -> bytes:
     """A dictionary from the ids of a bounded sample of short documents; empty where there are too few."""
     short = docs.where(F.length("text").between(1, SAMPLE_CHARS)).select("doc_id", "text")
-    rows = short.orderBy(F.xxhash64("doc_id", "text")).limit(SAMPLE_DOCS).select("text").collect()
+    rows = small_sample(short, F.xxhash64("doc_id", "text"), SAMPLE_DOCS).select("text").collect()
     samples = encoder(tokenizer, end_id).encode([r.text for r in rows])
     if len(samples) < 100:
         return b""

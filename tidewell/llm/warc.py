@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import open_folder, write_file
+from tidewell.llm.common import open_folder, small_sample, write_file
 from tidewell.session import stage
 
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -98,7 +98,7 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
 def train_dictionary(pages: DataFrame, date: str) -> bytes:
     """A dictionary from the records of a bounded sample of pages, those with the smallest hashes."""
     fit = pages.where(F.length("payload").between(1, SAMPLE_CHARS))
-    rows = fit.orderBy(F.xxhash64("payload_digest", "page_id")).limit(SAMPLE_PAGES).select(
+    rows = small_sample(fit, F.xxhash64("payload_digest", "page_id"), SAMPLE_PAGES).select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).alias("refers_to")
     )
     samples = [record({**r.asDict(), "payload": bytes(r.payload)}, date) for r in rows.collect()]
