@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import language, mixing, secrets, simhash, token_counts, token_store, vectors, warc
+from tidewell.llm import language, mixing, secrets, simhash, substrings, token_counts, token_store, vectors, warc
 from tidewell.llm.common import load
 from tidewell.session import scratch_path
 
@@ -22,6 +22,11 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.id_checksums(token_store.read_token_store(manifest, dictionary))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.drop_repeats(load(spark, sf_dir, "documents", "doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents", "doc_id", "text", "lang")
     training = language.learn(docs.where(~language.held_out(F.col("doc_id"))))
@@ -112,6 +117,7 @@ FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest
 #: Name: (query, SQL or None).
 QUERIES = {
     "op1_token_store": (op1_token_store, None),
+    "op2_substrings": (op2_substrings, None),
     "op3_language": (op3_language, None),
     "op5_token_counts": (op5_token_counts, None),
     "op6_mixing": (op6_mixing, MIX_SQL),
