@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from tidewell.llm.common import id_and_text, per_slice
 
@@ -175,9 +176,10 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
 
 
 def identify(
-    docs: DataFrame, training: tuple[tuple[str, tuple[str, ...]], ...], id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """One row per document: doc_id, lang_pred, score.
+    docs: DataFrame, training: tuple[tuple[str, tuple[str, ...]], ...], id_col: str = "doc_id", text_col: str = "text",
+    keep: bool = False,
+) -> DataFrame:
+    """One row per document: doc_id, lang_pred, score; with ``keep`` also ``row``, the whole input row.
 
     The language whose text parses the document into the fewest phrases per character wins; of
     equal ones the first by name. ``score`` is by how much the second-best needs more phrases, as a
@@ -197,6 +199,13 @@ def identify(
             else:
                 scores = lettered.astype(float)
             langs = [p.names[b] if ok else UNKNOWN for b, ok in zip(best, lettered)]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs), pa.array(scores)], ["doc_id", "lang_pred", "score"])
-
-    return id_and_text(docs, id_col, text_col).mapInArrow(per_slice(run, limit=2 << 20), "doc_id long, lang_pred string, score double")
+        cells, names = [batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores)], ["doc_id", "lang_pred", "score"]
+        if keep:
+            cells, names = [*cells, batch.column("row")], [*names, "row"]
+        return pa.RecordBatch.from_arrays(cells, names)
+
+    if not keep:
+        return id_and_text(docs, id_col, text_col).mapInArrow(per_slice(run, limit=2 << 20), "doc_id long, lang_pred string, score double")
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), F.struct("*").alias("row"))
+    schema = StructType([StructField("doc_id", LongType()), StructField("lang_pred", StringType()), StructField("score", DoubleType()), rows.schema["row"]])
+    return rows.mapInArrow(per_slice(run, limit=2 << 20), schema)

@@ -21,6 +21,13 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def row_hash(doc_id: Column, text: Column) -> Column:
+    """60 bits of the id and the text together."""
+    text = F.md5(F.coalesce(text.cast("string"), F.lit("")))
+    digest = F.md5(F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("")), text))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
     """source, source_size and target of each source, from (source, source_size).
 
@@ -56,7 +63,7 @@ def mix(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS,
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
-    """One row per document: doc_id, size, source, source_size, target, taken.
+    """One row per document: doc_id, size, source, source_size, target, taken, hash.
 
     ``size`` counts the words (null text: 0). A document is taken as often as its source's target
     holds the source's size in full, and once more where its hash is below the source's threshold:
@@ -66,13 +73,12 @@ def mix(
     together. A null source is a source of its own, the last one. Sources without words have
     target 0. The query plans grow with the number of sources and buckets, never by document.
     """
-    digest = F.md5(F.concat_ws("|", F.coalesce(docs[id_col].cast("string"), F.lit("")), F.md5(F.coalesce(docs[text_col].cast("string"), F.lit("")))))
     sized = stage(
         docs.select(
             docs[id_col].cast("long").alias("doc_id"),
             docs[source_col].cast("string").alias("source"),
             word_count(docs[text_col].cast("string")).alias("size"),
-            F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("hash"),
+            row_hash(docs[id_col], docs[text_col]).alias("hash"),
         ),
         "mix-sizes",
     )
@@ -108,5 +114,5 @@ def mix(
     return (
         sized.withColumn("key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
         .join(limits, "key")
-        .select("doc_id", "size", "source", "source_size", "target", (times * F.col("size")).cast("long").alias("taken"))
+        .select("doc_id", "size", "source", "source_size", "target", (times * F.col("size")).cast("long").alias("taken"), "hash")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import language, mixing, secrets, simhash, substrings, token_counts, token_store, vectors, warc
+from tidewell.llm import contamination, language, mixing, secrets, simhash, substrings, token_counts, token_store, vectors, warc
 from tidewell.llm.common import load
 from tidewell.session import scratch_path
 
@@ -34,6 +34,11 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = load(spark, sf_dir, "documents", "doc_id", "text"), load(spark, sf_dir, "benchmark", "item_id", "text")
+    return contamination.find_leaks(docs, items)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(load(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -73,6 +78,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+LEAK_SQL = r"""
+WITH i AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark),
+d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents),
+si AS (
+  SELECT DISTINCT item_id, least(len(w), 5) AS n, array_to_string(w[p:p + least(len(w), 5) - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS p FROM i WHERE len(w) > 0)),
+sd AS (
+  SELECT DISTINCT doc_id, n, array_to_string(w[p:p + n - 1], ' ') AS s
+  FROM (SELECT d.*, l.n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM si) l WHERE len(w) >= n)),
+c AS (SELECT item_id, CAST(count(*) AS INTEGER) AS n_item FROM si GROUP BY item_id),
+m AS (SELECT doc_id, item_id, CAST(count(*) AS INTEGER) AS n_shared FROM sd JOIN si USING (n, s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
+FROM m JOIN c USING (item_id) WHERE n_shared >= ceil(n_item * 0.8 - 1e-9)
+"""
+
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
@@ -119,6 +141,7 @@ QUERIES = {
     "op1_token_store": (op1_token_store, None),
     "op2_substrings": (op2_substrings, None),
     "op3_language": (op3_language, None),
+    "op4_leaks": (op4_leaks, LEAK_SQL),
     "op5_token_counts": (op5_token_counts, None),
     "op6_mixing": (op6_mixing, MIX_SQL),
     "op7_warc": (op7_warc, WARC_SQL),
