@@ -112,6 +112,22 @@ def _unpack_texts(blob: bytes, sizes: np.ndarray) -> list[bytes]:
     return [raw[s:e] for s, e in zip([0, *ends], ends)]
 
 
+def _pack(x: np.ndarray) -> bytes:
+    """Suffixes by field and byte place, so that sorted and small numbers compress."""
+    planes = [np.ascontiguousarray(x[f]).view(np.uint8).reshape(len(x), -1).T.tobytes() for f in SUFFIX.names]
+    return len(x).to_bytes(4, "little") + zstandard.compress(b"".join(planes), 1)
+
+
+def _unpack(blob: bytes) -> np.ndarray:
+    n, raw, at = int.from_bytes(blob[:4], "little"), np.frombuffer(zstandard.decompress(blob[4:]), np.uint8), 0
+    x = np.zeros(n, SUFFIX)
+    for f in SUFFIX.names:
+        size = n * SUFFIX[f].itemsize
+        x[f] = np.ascontiguousarray(raw[at : at + size].reshape(-1, n).T).view(SUFFIX[f])[:, 0] if n else 0
+        at += size
+    return x
+
+
 def _table(rows: list[dict], schema: str) -> pa.Table:
     kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     fields = [f.split(" ") for f in schema.split(", ")]
@@ -212,17 +228,17 @@ def _suffixes(window: int, prefix: int, buckets: int):
             told = dict(_by_bucket(sent["prefix"][runs][size > LENGTHEN], sent["prefix"][runs][size > LENGTHEN], buckets)) if len(sent) else {}
             near = dict(_by_bucket(sent[~long], sent["prefix"][~long], buckets))
             for b in near.keys() | told.keys():
-                parts = {"a": near.get(b, sent[:0]).tobytes(), "b": told[b].tobytes() if b in told else b""}
+                parts = {"a": _pack(near.get(b, sent[:0])), "b": told[b].tobytes() if b in told else b""}
                 rows.append({"kind": 1, "block": row["block"], "bucket": b, **parts})
             for b, x in _by_bucket(sent[long], sent["path"][long], buckets):
-                rows.append({"kind": 2, "block": row["block"], "bucket": b, "a": x.tobytes(), "b": b""})
+                rows.append({"kind": 2, "block": row["block"], "bucket": b, "a": _pack(x), "b": b""})
         return _table(rows, TREES)
 
     return run
 
 
 def _gathered(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    parts = [np.frombuffer(x, SUFFIX) for x in group["a"].to_pylist()]
+    parts = [_unpack(x) for x in group["a"].to_pylist()]
     return np.concatenate(parts), np.repeat(np.array(group["block"].to_pylist(), np.int64), [len(p) for p in parts])
 
 
@@ -250,7 +266,7 @@ def _subtrees(buckets: int):
         rows = list(_later(x[~longer], block[~longer]))
         for b in np.unique(block[longer]):
             mine = x[longer & (block == b)]
-            rows += [{"kind": 2, "block": int(b), "bucket": k, "a": part.tobytes()} for k, part in _by_bucket(mine, mine["path"], buckets)]
+            rows += [{"kind": 2, "block": int(b), "bucket": k, "a": _pack(part)} for k, part in _by_bucket(mine, mine["path"], buckets)]
         return _table(rows, TREES)
 
     return run
