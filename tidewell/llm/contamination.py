@@ -84,6 +84,8 @@ def find_leaks(
     found = texts.withColumnRenamed("doc_id", "id").join(held, F.col("id").eqNullSafe(F.col("doc_id")))
     found = found.withColumn("words", _words(F.col("text")))
     shared = F.size(F.array_intersect(of_length(_shingles, "words"), "shingles"))
-    found = found.select("doc_id", "item_id", "n_item", shared.alias("n_shared")).where(F.col("n_shared") >= _needed(F.col("n_item")))
+    # The filter stands after the aggregate: pushed below, it would split the text anew for every shingle.
+    found = found.select("doc_id", "item_id", "n_item", shared.alias("n_shared"))
     best = found.groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared"))
+    best = best.where(F.col("n_shared") >= _needed(F.col("n_item")))
     return best.select("doc_id", "item_id", "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment"))
