@@ -114,7 +114,7 @@ def _unpack_texts(blob: bytes, sizes: np.ndarray) -> list[bytes]:
 
 def _pack(x: np.ndarray) -> bytes:
     """Suffixes by field and byte place, so that sorted and small numbers compress."""
-    planes = [np.ascontiguousarray(x[f]).view(np.uint8).reshape(len(x), -1).T.tobytes() for f in SUFFIX.names]
+    planes = [np.ascontiguousarray(x[f]).view(np.uint8).reshape(len(x), SUFFIX[f].itemsize).T.tobytes() for f in SUFFIX.names]
     return len(x).to_bytes(4, "little") + zstandard.compress(b"".join(planes), 1)
 
 
