@@ -185,3 +185,12 @@ def test_late_dates(spark):
     dates = spark.createDataFrame([(date(2026, 1, d),) for d in (1, 2, 3, 4)], "snapshot_date date")
     got = labels.late_snapshot_dates(e, dates).collect()
     assert sorted((r.snapshot_date.day, r.late_events) for r in got) == [(1, 1), (2, 1)]
+
+
+def test_stale_dates_have_no_reach_and_converge(spark):
+    e = spark.createDataFrame([("2023-01-01", "2024-01-20")], "event_ts string, ingestion_timestamp string")
+    built = spark.createDataFrame([("2024-01-10", "2024-01-11"), ("2022-12-31", "2023-01-01")], "snapshot_date string, _built_at string")
+    built = built.selectExpr("CAST(snapshot_date AS date) snapshot_date", "CAST(_built_at AS timestamp) _built_at")
+    assert [r.snapshot_date for r in labels.stale_snapshot_dates(e, built).collect()] == [date(2024, 1, 10)]
+    again = built.selectExpr("snapshot_date", "CAST('2024-01-21' AS timestamp) _built_at")
+    assert labels.stale_snapshot_dates(e, again).count() == 0

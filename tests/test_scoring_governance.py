@@ -175,3 +175,18 @@ def test_reports_on_small_tables(spark):
     assert (kpis.high_risk, kpis.revenue_at_risk) == (2, 151.0)
     runs = spark.createDataFrame([], "task_name string, status string, duration_seconds double, started_at timestamp")
     assert reports.run_kpis(runs).first().success_rate is None
+
+
+def test_models_that_share_version_numbers(spark):
+    metrics = spark.createDataFrame(
+        [("A", "1", 0.9, 0.8, 0.2, "2026-01-01"), ("B", "1", 0.1, 0.2, 0.2, "2026-01-02"), ("A", "1", 0.3, 0.8, 0.2, "2025-01-01")],
+        "model_name string, model_version string, test_pr_auc double, test_recall double, test_positive_rate double, trained_at string",
+    )
+    versions = spark.createDataFrame(
+        [("A", "1", governance.INFERENCE_CONTRACT), ("B", "1", "older")], "model_name string, model_version string, inference_contract string"
+    )
+    wanted = spark.createDataFrame([("A", "1", None), ("B", "1", None)], "model_name string, candidate_version string, champion_version string")
+    pairs = {r.model_name: r for r in governance.candidate_pairs(wanted, versions, metrics).collect()}
+    assert len(pairs) == 2
+    assert (pairs["A"].candidate_pr_auc, pairs["A"].candidate_contract) == (0.9, governance.INFERENCE_CONTRACT)
+    assert (pairs["B"].candidate_pr_auc, pairs["B"].candidate_contract) == (0.1, "older")

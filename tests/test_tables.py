@@ -41,7 +41,7 @@ def test_upsert_with_new_column(spark, store):
     assert store.upsert("t", wider, KEYS, "snapshot_date", on_new_columns="merge").status == "merged"
     assert {(r.customer_id, r.v, r.w) for r in store.read("t", merge=True).collect()} == {("a", 5, "x"), ("z", 9, None)}
     again = wider.withColumn("u", F.lit(1))
-    assert store.upsert("t", again, KEYS, "snapshot_date").status == "recreated"
+    assert store.upsert("t", again, KEYS, "snapshot_date", on_new_columns="recreate").status == "recreated"
     assert store.read("t").count() == 1
 
 
@@ -128,8 +128,10 @@ def test_run_log(store):
     with pytest.raises(RuntimeError):
         with runlog.track_run(store, "job", "r2"):
             raise RuntimeError("x" * 5000)
-    runlog.log_run(store, "job", "r3", "skipped", datetime(2026, 1, 1), datetime(2026, 1, 1, 0, 0, 2))
+    skipped = runlog.RunRecorder(store, "job", "r3", status="skipped")
+    skipped.started_at, skipped.finished_at = datetime(2026, 1, 1), datetime(2026, 1, 1, 0, 0, 2)
+    skipped.append()
     rows = {r.run_id: r for r in store.read(runlog.TABLE).collect()}
     assert (rows["r1"].status, rows["r1"].output_summary) == ("succeeded", '{"rows": 3}')
-    assert rows["r2"].status == "failed" and len(rows["r2"].error_message) == 2000
+    assert rows["r2"].status == "failed" and rows["r2"].error_message == "x" * 5000
     assert (rows["r3"].status, rows["r3"].duration_seconds) == ("skipped", 2.0)

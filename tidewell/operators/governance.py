@@ -51,9 +51,15 @@ class Gate:
     slack: float = 1e-12
 
 
-def latest_metrics(metrics: DataFrame, version: str = "model_version", trained: str = "trained_at") -> DataFrame:
-    """The newest metric row of each model version."""
-    return latest_per_key(metrics, [version], [trained])
+def model_keys(metrics: DataFrame) -> list[str]:
+    """What names a version: model and version number; a table without model names holds one model."""
+    return [c for c in ("model_name", "model_version") if c in metrics.columns]
+
+
+def latest_metrics(metrics: DataFrame, trained: str = "trained_at") -> DataFrame:
+    """The newest metric row of each version of each model; on equal times that with the higher metrics."""
+    ties = [c for c in ("test_pr_auc", "test_recall", "test_positive_rate") if c in metrics.columns]
+    return latest_per_key(metrics, model_keys(metrics), [trained, *ties])
 
 
 def decision_reason(
@@ -134,13 +140,17 @@ def candidate_pairs(candidates: DataFrame, versions: DataFrame, metrics: DataFra
     version; the newest row counts, for champions too, so a rollback needs no second table.
     A candidate or champion version without metrics fails the job.
     """
+    keys = model_keys(metrics)
+    named = [c for c in keys if c == "model_name"]
     newest = latest_metrics(metrics).select(
-        "model_version", "test_pr_auc", "test_recall", "test_positive_rate", F.lit(True).alias("found")
+        *keys, "test_pr_auc", "test_recall", "test_positive_rate", F.lit(True).alias("found")
     )
-    tags = versions.select("model_version", "inference_contract")
+    tag_keys = [c for c in keys if c in versions.columns]
+    tags = versions.select(*tag_keys, "inference_contract")
 
     def side(prefix: str) -> DataFrame:
-        return newest.join(tags, "model_version", "left").select(
+        return newest.join(tags, tag_keys, "left").select(
+            *named,
             F.col("model_version").alias(f"{prefix}_version"),
             F.col("inference_contract").alias(f"{prefix}_contract"),
             F.col("test_pr_auc").cast("double").alias(f"{prefix}_pr_auc"),
@@ -149,8 +159,8 @@ def candidate_pairs(candidates: DataFrame, versions: DataFrame, metrics: DataFra
             F.col("found").alias(f"{prefix}_found"),
         )
 
-    joined = candidates.join(side("candidate"), "candidate_version", "left").join(
-        side("champion").drop("champion_positive_rate"), "champion_version", "left"
+    joined = candidates.join(side("candidate"), [*named, "candidate_version"], "left").join(
+        side("champion").drop("champion_positive_rate"), [*named, "champion_version"], "left"
     )
 
     def checked(prefix: str, needed: Column) -> Column:
@@ -175,13 +185,15 @@ def candidate_pairs(candidates: DataFrame, versions: DataFrame, metrics: DataFra
 
 def champion_rows(decisions: DataFrame, metrics: DataFrame) -> DataFrame:
     """The metric row of each approved candidate, marked as Champion."""
+    keys = [c for c in model_keys(metrics) if c == "model_version" or c in decisions.columns]
     approved = decisions.where(F.col("decision") == "APPROVED").select(
+        *[c for c in keys if c == "model_name"],
         F.col("candidate_version").alias("model_version"), F.col("evaluated_at").alias("promoted_at")
     )
     return (
         latest_metrics(metrics)
         .drop("model_alias")
-        .join(approved, "model_version")
+        .join(approved, keys)
         .withColumn("model_alias", F.lit("Champion"))
     )
 
@@ -216,13 +228,16 @@ def rollback_checks(
         F.col("model_version").alias("target_version"),
         F.coalesce("inference_contract", F.lit("")).alias("target_contract"),
     )
+    named = [c for c in model_keys(metrics) if c == "model_name"]
     measured = latest_metrics(metrics).select(
+        *named,
         F.col("model_version").alias("target_version"),
         F.col("test_pr_auc").alias("target_pr_auc"),
         F.col("test_recall").alias("target_recall"),
         F.lit(True).alias("has_metrics"),
     )
     previous = latest_metrics(metrics).select(
+        *named,
         F.col("model_version").alias("champion_version"),
         F.col("test_pr_auc").alias("previous_pr_auc"),
         F.col("test_recall").alias("previous_recall"),
@@ -231,9 +246,9 @@ def rollback_checks(
     joined = (
         requests.withColumn("target_version", target)
         .join(known, ["model_name", "target_version"], "left")
-        .join(measured, "target_version", "left")
+        .join(measured, [*named, "target_version"], "left")
         .join(serving, "model_name", "left")
-        .join(previous, "champion_version", "left")
+        .join(previous, [*named, "champion_version"], "left")
     )
     t = F.col("target_version")
     problem = (

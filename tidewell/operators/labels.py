@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidewell.functions import bands
 
@@ -83,7 +84,7 @@ def mature_labels(
     already_labeled: DataFrame | None = None,
     labeled_at: datetime | None = None,
 ) -> DataFrame:
-    """Labels for every mature snapshot date that has none yet, in one job.
+    """Labels for every mature snapshot row (entity and date) that has none yet, in one job.
 
     Each outcome day is turned into the snapshot dates whose band it falls in, so
     the match is an equi-join on (entity, date); outcomes shrink to one row per
@@ -94,9 +95,8 @@ def mature_labels(
         spec.entity, "snapshot_date"
     )
     if already_labeled is not None:
-        # One row per snapshot date.
-        done = already_labeled.select("snapshot_date").distinct()
-        population = population.join(F.broadcast(done), "snapshot_date", "left_anti")
+        done = already_labeled.select(spec.entity, "snapshot_date")
+        population = population.join(done, [spec.entity, "snapshot_date"], "left_anti")
     outcome_days = (
         events.where(F.col(spec.kind) == spec.outcome)
         .select(spec.entity, F.to_date(spec.ts).alias("_day"))
@@ -144,18 +144,50 @@ def label_counts(labels: DataFrame, label: str = "churned") -> DataFrame:
     )
 
 
+def stale_snapshot_dates(
+    events: DataFrame, snapshots: DataFrame, ts: str = "event_ts", ingested: str = "ingestion_timestamp"
+) -> DataFrame:
+    """Snapshot dates (with ``_built_at``) that an event on or before them reached after their build.
+
+    One row per date: snapshot_date, built_at, newest_event (the latest arrival among the events
+    that count for it). The running maximum is over days, not events.
+    """
+    arrived = events.groupBy(F.to_date(ts).alias("day")).agg(F.max(F.col(ingested).cast("timestamp")).alias("arrived"))
+    built = snapshots.groupBy("snapshot_date").agg(F.min("_built_at").alias("built_at"))
+    days = arrived.select("day", "arrived", F.lit(None).cast("timestamp").alias("built_at"))
+    days = days.unionByName(built.select(F.col("snapshot_date").alias("day"), F.lit(None).cast("timestamp").alias("arrived"), "built_at"))
+    so_far = Window.orderBy("day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = days.withColumn("newest_event", F.max("arrived").over(so_far)).where("newest_event > built_at")
+    return seen.select(F.col("day").alias("snapshot_date"), "built_at", "newest_event")
+
+
+def stale_label_dates(events: DataFrame, labelled: DataFrame, spec: LabelSpec = LabelSpec(), ingested: str = "ingestion_timestamp") -> DataFrame:
+    """Labelled dates whose outcome band holds an outcome that arrived after their labels were made."""
+    arrived = (
+        events.where(F.col(spec.kind) == spec.outcome)
+        .groupBy(F.to_date(spec.ts).alias("_day"))
+        .agg(F.max(F.col(ingested).cast("timestamp")).alias("newest_event"))
+    )
+    band = F.sequence(F.date_sub("_day", spec.horizon), F.date_sub("_day", 1))
+    touched = arrived.select(F.explode(band).alias("snapshot_date"), "newest_event")
+    touched = touched.groupBy("snapshot_date").agg(F.max("newest_event").alias("newest_event"))
+    made = labelled.groupBy("snapshot_date").agg(F.min("_labeled_at").alias("labeled_at"))
+    return made.join(touched, "snapshot_date").where("newest_event > labeled_at")
+
+
 def late_snapshot_dates(
     events: DataFrame,
     snapshot_dates: DataFrame,
     ts: str = "event_ts",
     ingested: str = "ingestion_timestamp",
-    reach_days: int = 90,
+    reach_days: int | None = None,
 ) -> DataFrame:
     """Existing snapshot dates whose features a late event changes, with the late rows behind each.
 
     An event is late for a date when it happened on or before it but was ingested
-    after it. ``reach_days`` is the longest lookback window. Late events shrink to
-    one row per (event day, ingestion day) before they are spread over dates.
+    after it. With ``reach_days`` only dates that close to the event are listed; by default
+    all are, because some features look back without limit. Late events shrink to one row
+    per (event day, ingestion day) before they are spread over dates.
     """
     late = (
         events.select(F.to_date(ts).alias("_happened"), F.to_date(ingested).alias("_arrived"))
@@ -163,7 +195,9 @@ def late_snapshot_dates(
         .groupBy("_happened", "_arrived")
         .agg(F.count("*").alias("n"))
     )
-    last = F.least(F.date_sub("_arrived", 1), F.date_add("_happened", reach_days))
+    last = F.date_sub("_arrived", 1)
+    if reach_days is not None:
+        last = F.least(last, F.date_add("_happened", reach_days))
     touched = late.select(F.explode(F.sequence("_happened", last)).alias("snapshot_date"), "n")
     per_date = touched.groupBy("snapshot_date").agg(F.sum("n").alias("late_events"))
     return per_date.join(snapshot_dates.select("snapshot_date").distinct(), "snapshot_date", "left_semi")

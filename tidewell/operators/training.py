@@ -121,22 +121,22 @@ class Candidate:
     imbalance_method: str = "class_weight_balanced"
 
 
-def default_candidates(label: str, trees: int = 100, seed: int = split.SEED) -> list[Candidate]:
-    """Two forests, boosted trees and a linear model."""
+def default_candidates(label: str, trees: int = 300, rounds: int = 300, seed: int = split.SEED) -> list[Candidate]:
+    """Two forests of ``trees`` trees, ``rounds`` boosted trees and a linear model."""
     common = {"featuresCol": "features", "labelCol": label, "weightCol": WEIGHT}
     return [
         Candidate(
-            "balanced_random_forest",
+            "class_weighted_forest",
             RandomForestClassifier(numTrees=trees, maxDepth=10, seed=seed, subsamplingRate=1.0, **common),
         ),
         Candidate(
             "gradient_boosting",
             GBTClassifier(
-                maxIter=max(trees // 5, 5), maxDepth=5, stepSize=0.1, subsamplingRate=0.8, seed=seed, **common
+                maxIter=rounds, maxDepth=5, stepSize=0.1, subsamplingRate=0.8, seed=seed, **common
             ),
         ),
         Candidate(
-            "extra_trees",
+            "forest_without_bootstrap",
             RandomForestClassifier(
                 numTrees=trees, maxDepth=10, bootstrap=False, featureSubsetStrategy="onethird", seed=seed, **common
             ),

@@ -127,12 +127,13 @@ def build_labels(
 def label_mature_snapshots(
     store: TableStore, events: DataFrame, today: date, horizon: int = labels.HORIZON_DAYS
 ) -> WriteResult:
-    """Label every mature snapshot date that has no labels yet."""
-    done = store.read(LABELS) if store.exists(LABELS) else None
-    rows = labels.mature_labels(
-        events, store.read(FEATURES), today, labels.LabelSpec(horizon=horizon), done
-    )
-    return store.replace_partitions(LABELS, rows, "snapshot_date")
+    """Label every mature snapshot row that has no label yet, also on dates labelled before."""
+    spec = labels.LabelSpec(horizon=horizon)
+    if not store.exists(LABELS):
+        return store.replace_partitions(LABELS, labels.mature_labels(events, store.read(FEATURES), today, spec), "snapshot_date")
+    done = store.read(LABELS)
+    rows = labels.mature_labels(events, store.read(FEATURES), today, spec, done)
+    return store.insert_new(LABELS, rows, [spec.entity, "snapshot_date"])
 
 
 def training_set(store: TableStore) -> DataFrame:
@@ -164,19 +165,31 @@ def _feature_order(rows: DataFrame) -> list[str]:
     return [spec.entity, *[n for n in features.feature_names(spec) if n in rows.columns]]
 
 
-def rebuild_late_snapshots(store: TableStore, events: DataFrame, reach_days: int = 90) -> Sequence[date]:
-    """Rebuild the snapshots that late events touch, one contiguous date span at a time.
+def rebuild_late_snapshots(store: TableStore, events: DataFrame) -> Sequence[date]:
+    """Rebuild the snapshots that events ingested after their build touch, one date span at a time.
 
-    Only the list of dates comes to the driver.
+    However old the event is, it counts. A rebuilt snapshot has a newer build time, so that a second
+    call finds nothing. Only the list of dates comes to the driver.
     """
-    existing = store.read(FEATURES).select("snapshot_date")
-    late = labels.late_snapshot_dates(events, existing, reach_days=reach_days)
+    late = labels.stale_snapshot_dates(events, store.read(FEATURES))
     dates = sorted(r.snapshot_date for r in late.select("snapshot_date").collect())
     for first, last in contiguous(dates):
         backfill(store, events, first, last)
     return dates
 
 
+def relabel_late_outcomes(store: TableStore, events: DataFrame, today: date, horizon: int = labels.HORIZON_DAYS) -> Sequence[date]:
+    """Redo the labels of the dates whose outcome band got an event after they were labelled."""
+    spec = labels.LabelSpec(horizon=horizon)
+    done = store.read(LABELS)
+    late = labels.stale_label_dates(events, done, spec).select("snapshot_date")
+    dates = sorted(r.snapshot_date for r in late.collect())
+    if dates:
+        again = store.read(FEATURES).where(F.col("snapshot_date").isin(dates))
+        store.replace_partitions(LABELS, labels.mature_labels(events, again, today, spec), "snapshot_date")
+    return dates
+
+
 def contiguous(dates: Sequence[date]) -> list[tuple[date, date]]:
     """Ascending dates as (first, last) spans without gaps."""
     spans: list[tuple[date, date]] = []
@@ -202,11 +215,10 @@ def champion_for_scoring(store: TableStore, model_name: str):
         raise governance.PromotionBlocked("there is no champion; promote an approved candidate first")
     if champion.champion_contract != governance.INFERENCE_CONTRACT:
         raise governance.PromotionBlocked(f"champion {champion.champion_version} has a legacy contract")
-    metrics = (
-        governance.latest_metrics(store.read(CANDIDATES, merge=True))
-        .where(F.col("model_version") == champion.champion_version)
-        .first()
-    )
+    newest = governance.latest_metrics(store.read(CANDIDATES, merge=True))
+    if "model_name" in newest.columns:
+        newest = newest.where(F.col("model_name") == model_name)
+    metrics = newest.where(F.col("model_version") == champion.champion_version).first()
     if metrics is None:
         raise governance.PromotionBlocked(f"no metrics for champion {champion.champion_version}")
     return metrics

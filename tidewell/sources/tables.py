@@ -103,15 +103,15 @@ class TableStore:
         source: DataFrame,
         keys: Sequence[str],
         partition: str,
-        on_new_columns: str = "recreate",
+        on_new_columns: str = "merge",
     ) -> WriteResult:
         """MERGE on ``keys``: matched rows are replaced, others inserted.
 
         ``partition`` is one of the keys. Only partitions that the source touches
         are read and rewritten. Source and merged rows are staged, so the source is
         evaluated once and the target is not overwritten while it is read. When the
-        source brings new columns the table is recreated from it; with
-        ``on_new_columns="merge"`` old rows are kept and hold null there.
+        source brings new columns, old rows are kept and hold null there; only with
+        ``on_new_columns="recreate"`` the table is made anew from the source alone.
         """
         if on_new_columns not in ("recreate", "merge"):
             raise ValueError("on_new_columns must be 'recreate' or 'merge'")

@@ -268,7 +268,42 @@ SELECT snapshot_date, count(*) AS late_events FROM late JOIN d
   ON happened <= snapshot_date AND arrived > snapshot_date AND snapshot_date <= happened + 90
 GROUP BY snapshot_date"""
 
+def _arrivals(spark, sf):
+    e = contract_events(spark, sf)
+    days = F.when(F.col("k") < 10, 40).otherwise(F.col("k") % 4)  # some arrive after any lookback
+    return e.withColumn("ingestion_timestamp", F.date_add(F.to_date("event_ts"), days).cast("timestamp"))
+
+
+def stale_snapshot_dates(spark, sf):
+    built = _backfilled(spark, sf).withColumn("_built_at", F.date_add("snapshot_date", 30).cast("timestamp"))
+    return labels.stale_snapshot_dates(_arrivals(spark, sf), built)
+
+
+STALE_SQL = f"""
+WITH {CONTRACT_EVENTS}, {BACKFILL_DATES},
+a AS (SELECT CAST(event_ts AS DATE) AS day,
+        CAST(CAST(event_ts AS DATE) + CASE WHEN k < 10 THEN 40 ELSE k % 4 END AS TIMESTAMP) AS arrived FROM ev)
+SELECT snapshot_date, CAST(snapshot_date + 30 AS TIMESTAMP) AS built_at, max(arrived) AS newest_event
+FROM d JOIN a ON day <= snapshot_date GROUP BY snapshot_date HAVING max(arrived) > CAST(snapshot_date + 30 AS TIMESTAMP)"""
+
+
+def stale_label_dates(spark, sf):
+    made = _mature(spark, sf).withColumn("_labeled_at", F.date_add("maturity_date", 20).cast("timestamp"))
+    return labels.stale_label_dates(_arrivals(spark, sf), made, labels.LabelSpec(horizon=3))
+
+
+STALE_LABEL_SQL = f"""
+WITH {MATURE_LABELS}, m AS (SELECT DISTINCT snapshot_date, CAST(maturity_date + 20 AS TIMESTAMP) AS labeled_at FROM lab),
+a AS (SELECT CAST(event_ts AS DATE) AS day,
+        CAST(CAST(event_ts AS DATE) + CASE WHEN k < 10 THEN 40 ELSE k % 4 END AS TIMESTAMP) AS arrived
+      FROM ev WHERE event_type = 'cancellation')
+SELECT snapshot_date, labeled_at, max(arrived) AS newest_event
+FROM m JOIN a ON day > snapshot_date AND day <= snapshot_date + 3
+GROUP BY ALL HAVING max(arrived) > labeled_at"""
+
 QUERIES = {
+    "stale_snapshot_dates": (stale_snapshot_dates, STALE_SQL),
+    "stale_label_dates": (stale_label_dates, STALE_LABEL_SQL),
     "feature_counts": (
         feature_counts,
         f"WITH {ONE_DATE} SELECT customer_id, {', '.join(COUNT_NAMES)} FROM f",
