@@ -49,9 +49,11 @@ class Encoder:
 
     The pre-tokenizer always starts a token at a single space between other characters, so a text
     is cut there; equal pieces have equal ids. Texts with a special token are encoded whole.
+    At most two generations of about ``memory`` pieces are remembered (some 400 bytes each); pieces
+    that are used again move to the newer one, so that only rare ones are encoded anew.
     """
 
-    def __init__(self, tokenizer: str, end_id: int, memory: int = 800_000) -> None:
+    def __init__(self, tokenizer: str, end_id: int, memory: int = 250_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
