@@ -201,11 +201,16 @@ def identify(
             langs = [p.names[b] if ok else UNKNOWN for b, ok in zip(best, lettered)]
         cells, names = [batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores)], ["doc_id", "lang_pred", "score"]
         if keep:
-            cells, names = [*cells, batch.column("row")], [*names, "row"]
+            cells, names = [*cells, batch.column("text"), batch.column("row")], [*names, "text", "row"]
         return pa.RecordBatch.from_arrays(cells, names)
 
     if not keep:
         return id_and_text(docs, id_col, text_col).mapInArrow(per_slice(run, limit=2 << 20), "doc_id long, lang_pred string, score double")
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), F.struct("*").alias("row"))
-    schema = StructType([StructField("doc_id", LongType()), StructField("lang_pred", StringType()), StructField("score", DoubleType()), rows.schema["row"]])
-    return rows.mapInArrow(per_slice(run, limit=2 << 20), schema)
+    # The text travels once; the other columns go beside it and the row is put together again after.
+    others = F.struct(*[docs[f"`{c}`"] for c in docs.columns if c != text_col]) if len(docs.columns) > 1 else F.lit(None).cast("int")
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), others.alias("row"))
+    kinds = [("doc_id", LongType()), ("lang_pred", StringType()), ("score", DoubleType()), ("text", StringType())]
+    found = rows.mapInArrow(per_slice(run, limit=2 << 20), StructType([*(StructField(n, t) for n, t in kinds), rows.schema["row"]]))
+    text = F.col("text").cast(docs.schema[text_col].dataType).alias(text_col)
+    whole = F.struct(*[text if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
+    return found.select("doc_id", "lang_pred", "score", whole.alias("row"))
