@@ -16,7 +16,7 @@ from tidewell.llm.common import id_and_text, per_slice
 SAMPLE_DOCS, SAMPLE_CHARS = 48, 500
 #: Characters of training text over all languages together, which bounds the tables in a worker.
 TRAINING_CHARS = 160_000
-#: Letters that have transitions of their own; the others can only be phrases by themselves.
+#: Letters whose transitions are in a dense table, the most frequent ones; those of all other letters are searched for.
 ALPHABET = 60
 #: Phrases end at multiples of this many characters, so that long texts are parsed in parallel lanes.
 LANE = 1024
@@ -44,8 +44,11 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
-    """Transitions (states x width, 0: none; state 1 is the start) of all substrings of a code sequence."""
+def suffix_automaton(codes: list[int], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Transitions (states x width, 0: none; state 1 is the start) of all substrings of a code sequence.
+
+    Those by codes from ``width`` on come second, as rows (state, code, next state).
+    """
     step, link, length, last = [None, {}], [0, 0], [0, 0], 1
     for c in codes:
         new = len(step)
@@ -66,20 +69,25 @@ def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
                 p = link[p]
             link[q] = link[new] = twin
         last = new
-    table = np.zeros((len(step), width), np.int32)
+    table, others = np.zeros((len(step), width), np.int32), []
     for s, moves in enumerate(step[1:], 1):
         for c, t in moves.items():
-            table[s, c] = t
-    return table
+            if c < width:
+                table[s, c] = t
+            else:
+                others.append((s, c, t))
+    return table, np.array(others, np.int64).reshape(-1, 3)
 
 
 class Parser:
     """Cross-parses texts against the training text of each language.
 
-    Codes: 0 padding, 1 anything but letters, 2 a letter outside the alphabet, 3 and up letters.
+    Codes: 0 padding, 1 anything but letters, 2 a letter that no training text has, 3 and up letters,
+    the most frequent first.
     A parse takes the longest match with the training text again and again; a character without any
     match is a phrase. The move table of a language holds, per state and code, the next state and
-    the phrases that end there, so that one step of all lanes and languages is one lookup.
+    the phrases that end there, so that one step of all lanes and languages is one lookup; codes
+    beyond its width are looked up in a sorted list of (state, code).
     """
 
     def __init__(self, training: tuple[tuple[str, tuple[str, ...]], ...]) -> None:
@@ -87,17 +95,23 @@ class Parser:
         self.letter, lower = _letters()
         points = np.concatenate([_points(t) for _, texts in training for t in texts] or [np.zeros(0, np.uint32)])
         seen, counts = np.unique(lower[points[self.letter[points]]], return_counts=True)
-        kept = seen[np.argsort(-counts, kind="stable")[:ALPHABET]]
-        code = np.full(0x110000, 2, np.uint8)
-        code[kept] = np.arange(3, 3 + len(kept))
-        self.code = np.where(self.letter, code[lower], 1).astype(np.uint8)
-        self.width = 3 + len(kept)
-        tables, starts, base = [], [], 0
+        kept = seen[np.argsort(-counts, kind="stable")]
+        self.codes = 3 + len(kept)
+        kind = np.min_scalar_type(self.codes)
+        code = np.full(0x110000, 2, kind)
+        code[kept] = np.arange(3, self.codes)
+        self.code = np.where(self.letter, code[lower], 1).astype(kind)
+        self.width = min(self.codes, 3 + ALPHABET)
+        tables, starts, base, keys, targets, roots = [], [], 0, [], [], []
         for _, texts in training:
             codes: list[int] = []
             for t in texts:
                 codes += [*self._clean(t).tolist(), 2]  # the code without transitions keeps slices apart
-            table = suffix_automaton(codes, self.width)
+            table, others = suffix_automaton(codes, self.width)
+            root = np.zeros(self.codes, np.int32)
+            state, by, to = others.T
+            root[by[state == 1]] = to[state == 1] + base
+            keys.append((state + base) * self.codes + by), targets.append(to + base), roots.append(root)
             table[:, :1] = table[:, 2:3] = 0
             again = np.broadcast_to(table[1], table.shape)
             closed = (np.arange(len(table)) != 1)[:, None].astype(np.int32)
@@ -109,6 +123,19 @@ class Parser:
             base += len(table)
         self.moves = np.concatenate([t.ravel() for t in tables]) if tables else np.zeros(0, np.int32)
         self.starts = np.array(starts, np.int32)
+        # The last key is beyond all others, so that each search ends at one.
+        self.keys = np.concatenate([*keys, np.array([np.iinfo(np.int64).max])])
+        order = np.argsort(self.keys)
+        self.keys, self.targets = self.keys[order], np.concatenate([*targets, np.zeros(1, np.int64)])[order].astype(np.int32)
+        self.roots = np.array(roots, np.int32).reshape(-1, self.codes)
+
+    def _rare(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Moves by codes beyond the table, of states per language and lane."""
+        wanted = state.astype(np.int64) * self.codes + codes
+        at = np.searchsorted(self.keys, wanted)
+        again, start = self.roots[:, codes], self.starts[:, None]
+        failed = np.where(again > 0, again, start) << 2 | ((state != start).astype(np.int32) + (again == 0))
+        return np.where(self.keys[at] == wanted, self.targets[at] << 2, failed)
 
     def _clean(self, text: str) -> np.ndarray:
         codes = self.code[_points(text)]
@@ -118,11 +145,11 @@ class Parser:
 
     def phrases(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases per text and language, over its characters; and whether the text has a letter."""
-        clean = [self._clean(t) if t else np.zeros(0, np.uint8) for t in texts]
+        clean = [self._clean(t) if t else np.zeros(0, self.code.dtype) for t in texts]
         sizes = np.fromiter(map(len, clean), np.int64, len(clean))
         lanes = -(-sizes // LANE)
         owner = np.repeat(np.arange(len(clean)), lanes)
-        grid = np.zeros((int(lanes.sum()), LANE), np.uint8)
+        grid = np.zeros((int(lanes.sum()), LANE), self.code.dtype)
         flat, at = grid.ravel(), 0
         for c, n in zip(clean, lanes):
             flat[at : at + len(c)] = c
@@ -135,9 +162,15 @@ class Parser:
         state = np.repeat(self.starts[:, None], len(order), 1)
         count = np.zeros(state.shape, np.int32)
         live = np.searchsorted(-filled, -np.arange(1, LANE + 1), side="right")  # lanes that reach each column
+        wide = self.codes > self.width and bool((grid >= self.width).any())
         for j in range(int(filled[0]) if len(filled) else 0):
             n = live[j]
-            move = self.moves[state[:, :n] * np.int32(self.width) + columns[j, :n]]
+            if wide:
+                rare = np.flatnonzero(columns[j, :n] >= self.width)
+                move = self.moves[state[:, :n] * np.int32(self.width) + np.where(columns[j, :n] < self.width, columns[j, :n], 2)]
+                move[:, rare] = self._rare(state[:, rare], columns[j, rare].astype(np.int64))
+            else:
+                move = self.moves[state[:, :n] * np.int32(self.width) + columns[j, :n]]
             count[:, :n] += move & 3
             state[:, :n] = move >> 2
         count += state != self.starts[:, None]
