@@ -6,11 +6,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from tidewell.llm.common import id_and_text, per_slice
+from tidewell.session import stage
 
 #: The classifier is fitted on so many slices per language, of so many characters, those with the smallest hashes.
 SAMPLE_DOCS, SAMPLE_CHARS = 48, 500
@@ -187,24 +188,28 @@ def parser(training: tuple[tuple[str, tuple[str, ...]], ...]) -> Parser:
 
 
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[tuple[str, tuple[str, ...]], ...]:
-    """Training text per language: bounded slices of the labelled documents with the smallest hashes.
+    """Training text per language: bounded slices of the distinct labelled texts with the smallest hashes.
 
     Rows with a null label or text, or without a letter, are left out. The number of labels is
     taken to be that of a set of languages; the more there are, the less text each one keeps.
     """
     rows = labelled.select(labelled[lang_col].cast("string").alias("lang"), labelled[text_col].cast("string").alias("text"))
     rows = rows.where("lang is not null and text rlike '\\\\p{L}'").withColumn("hash", F.xxhash64("text"))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not sizes:
+    texts = stage(rows.select("lang", "hash").distinct(), "language-hashes")
+    names = texts.select("lang").distinct().count()
+    if not names:
         return ()
-    docs = max(1, min(SAMPLE_DOCS, TRAINING_CHARS // (SAMPLE_CHARS * len(sizes))))
-    # Hashes are uniform: this share of the range holds several times the documents needed.
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, 8.0 * docs / n))])
+    docs = max(1, min(SAMPLE_DOCS, TRAINING_CHARS // (SAMPLE_CHARS * names)))
     place = F.pmod("hash", F.lit(1 << 30))
-    near = rows.where(place / float(1 << 30) < share[F.col("lang")])
+    # The smallest of each part of a language, then those of the language: no language is one task.
+    parts = Window.partitionBy("lang", F.pmod(F.xxhash64("hash"), F.lit(64))).orderBy(place, "hash")
+    few = texts.withColumn("rank", F.row_number().over(parts)).where(F.col("rank") <= docs)
+    whole = Window.partitionBy("lang").orderBy(place, "hash")
+    chosen = few.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= docs).select("lang", "hash")
+    near = rows.join(F.broadcast(chosen), ["lang", "hash"])  # so many slices as learned from at most
     first = F.greatest(F.lit(0), F.pmod(F.xxhash64("hash"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1)))) + 1
     ranked = near.select("lang", "hash", F.col("text").substr(first.cast("int"), F.lit(SAMPLE_CHARS)).alias("slice")).distinct()
-    best = ranked.groupBy("lang").agg(F.slice(F.sort_array(F.collect_list(F.struct(F.pmod("hash", F.lit(1 << 30)).alias("h"), "slice"))), 1, docs).alias("s"))
+    best = ranked.groupBy("lang").agg(F.slice(F.sort_array(F.collect_list(F.struct(place.alias("h"), "slice"))), 1, docs).alias("s"))
     return tuple(sorted((r["lang"], tuple(x["slice"] for x in r["s"])) for r in best.collect()))
 
 
