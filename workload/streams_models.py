@@ -95,11 +95,19 @@ ML_PREPROCESS_SQL = f"WITH {CUSTOMER_SNAPSHOTS} " + " UNION ALL ".join(
 )
 
 
+#: The last comparison, by application and input; both queries use the same fit.
+_LAST: dict = {}
+
+
 def _compare(spark, sf):
-    data = stage(_labelled(spark, sf), "ml-input")
-    # All candidates, with fewer trees than the defaults: fitting is all the time there is.
-    candidates = training.default_candidates("label", trees=20, rounds=5)
-    return training.train_and_compare(data, "label", "row_id", candidates)
+    """All candidates with the operator's defaults, fitted once for both queries of an application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LAST:
+        data = stage(_labelled(spark, sf), "ml-input")
+        result = training.train_and_compare(data, "label", "row_id", training.default_candidates("label"))
+        _LAST.clear()
+        _LAST[key] = result
+    return _LAST[key]
 
 
 def ml_candidates(spark, sf):
