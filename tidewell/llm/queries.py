@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import contamination, language, mixing, secrets, simhash, substrings, token_counts, token_store, vectors, warc
+from tidewell.llm import contamination, language, lexical, mixing, negatives, secrets, simhash, substrings, token_counts, token_store, transducer, vectors, warc
 from tidewell.llm.common import load
 from tidewell.session import scratch_path
 
@@ -78,6 +78,27 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    encoded = transducer.encode_texts(load(spark, sf_dir, "documents", "doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    # Decoded in place: ids stay with their row, since ids of documents may repeat or be null.
+    decoded = transducer.decode_ids(encoded, ranks, keep=True)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")
+    )
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(load(spark, sf_dir, "documents", "doc_id", "text"), load(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), F.col("vec_id") % 100 == 0, label)
+
+
 LEAK_SQL = r"""
 WITH i AS (
   SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark),
@@ -136,6 +157,47 @@ SELECT page_id, payload_bytes, p.payload_digest,
 FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest
 """
 
+SEARCH_SQL = r"""
+WITH t AS (
+  SELECT doc_id, CAST(row_number() OVER () AS BIGINT) AS row,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+d AS (SELECT *, CAST(len(w) AS BIGINT) AS n FROM t WHERE len(w) > 0),
+g AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS total FROM d),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+p AS (SELECT row, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT row, doc_id, n, unnest(w) AS term FROM d) GROUP BY ALL),
+f AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM p GROUP BY term), g),
+s AS (
+  SELECT item_id, row, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total)))) AS BIGINT) AS score
+  FROM i JOIN p USING (term) JOIN f USING (term), g GROUP BY ALL),
+r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.row AS anchor, a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda k: a.q[k] * b.q[k])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.row <> b.row AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor, anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other NULLS LAST) <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, positive_id, positive_score ORDER BY score DESC, other NULLS LAST) AS rank
+  FROM p JOIN s ON p.anchor = s.anchor AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
 #: Name: (query, SQL or None).
 QUERIES = {
     "op1_token_store": (op1_token_store, None),
@@ -148,4 +210,7 @@ QUERIES = {
     "op8_vectors": (op8_vectors, None),
     "op9_secrets": (op9_secrets, None),
     "op10_simhash": (op10_simhash, None),
+    "op11_transducer": (op11_transducer, None),
+    "op12_lexical": (op12_lexical, SEARCH_SQL),
+    "op13_negatives": (op13_negatives, NEGATIVES_SQL),
 }
