@@ -81,12 +81,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    ranks = tokenizer_path("byte_bpe_multi_50k.tiktoken")
-    encoded = transducer.encode_texts(load(spark, sf_dir, "documents", "doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    # Decoded in place: ids stay with their row, since ids of documents may repeat or be null.
-    decoded = transducer.decode_ids(encoded, ranks, keep=True)
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")
+    docs, ranks = load(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    encoded = transducer.encode_texts(docs, ranks, public_tokenizers.PATTERN, decode=True)
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
 

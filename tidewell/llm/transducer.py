@@ -24,17 +24,58 @@ from pyspark.sql import DataFrame
 
 from tidewell.llm.common import id_and_text, slices
 
-#: Transitions, pair verdicts and distinct matches a worker remembers; beyond that it forgets and starts anew.
-MOVES, PAIRS, PIECES = 400_000, 1_000_000, 200_000
-#: Matches that are held at a time.
-RUN = 1_000_000
+#: Transitions and pair verdicts a worker remembers; beyond that it forgets and starts anew.
+MOVES, PAIRS = 1_000_000, 500_000
+#: Matches that are held at a time, and the bytes beyond which a match is read by itself.
+RUN, LONG = 500_000, 64
 END = float("inf")
 #: The kind of token before the first one, and the bytes after which a stream looks for certain tokens.
 FIRST, LOOK = 1 << 30, 32
+#: Bits of a trie node or a token; a vocabulary of more does not fit.
+NODE = 24
+DEEP = (1 << NODE) - 1
 #: Branches are tried against the tokens behind them where there are at most so many.
 FEW = 8
 
 
+class Moves:
+    """Transitions by (state, byte), looked up for many at once: open addressing in two arrays."""
+
+    def __init__(self, bits: int = 16) -> None:
+        self.count, self.bits = 0, bits
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The moves of the keys, -1 where there is none."""
+        out, todo, at = np.full(len(keys), -1, np.int64), np.arange(len(keys)), self._home(keys)
+        while len(todo):
+            there = self.keys[at]
+            hit = there == keys[todo]
+            out[todo[hit]] = self.values[at[hit]]
+            on = ~hit & (there >= 0)
+            todo, at = todo[on], (at[on] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Store moves of distinct keys that are not there yet."""
+        if 2 * (self.count + len(keys)) > len(self.keys):
+            old = self.keys >= 0
+            before = self.keys[old], self.values[old]
+            self.__init__(max(self.bits + 1, int(4 * (self.count + len(keys))).bit_length()))
+            self.add(*before)
+        self.count += len(keys)
+        at = self._home(keys)
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]  # of several that want a place the last one gets it
+            placed = self.keys[at] == keys
+            self.values[at[placed]] = values[placed]
+            keys, values, at = keys[~placed], values[~placed], (at[~placed] + 1) & ((1 << self.bits) - 1)
+
+
 class Transducer:
     """Encodes byte strings by a merge list given as ranks (token bytes: id).
 
@@ -45,6 +86,8 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], moves: int = MOVES) -> None:
         if missing := [b for b in range(256) if bytes([b]) not in ranks]:
             raise ValueError(f"{len(missing)} of 256 bytes are not in the vocabulary")
+        if max(map(len, ranks)) * len(ranks) >> NODE or max(ranks.values()) >> NODE:
+            raise ValueError("the vocabulary is too large")
         self.ranks, self.spelling, self.limit = ranks, {i: t for t, i in ranks.items()}, moves
         self.child: dict[int, int] = {}
         self.token, self.depth = [-1], [0]
@@ -76,13 +119,17 @@ class Transducer:
         self.kind_of: dict[int, int] = {}
         self.example: list[int] = []
         self.size = {i: len(t) for t, i in ranks.items()}
+        self.lengths = np.zeros(max(self.spelling) + 1, np.int64)
+        self.lengths[list(self.size)] = list(self.size.values())
+        self.unmade = any(self._split(i) == () for i in self.spelling)
         self.forget()
 
     def forget(self) -> None:
         """Drop all states but the first: nothing read, one branch at the root."""
-        self.states: list[tuple] = [((FIRST, 0),)]
+        self.states: list[tuple[int, ...]] = [(FIRST << NODE,)]
         self.number = {self.states[0]: 0}
-        self.moves: dict[int, tuple[int, int]] = {}
+        self.branches: dict[int, int] = {}  # one object for equal branches
+        self.moves, self.own = Moves(), {}  # for many strings at once, and for one
         self.verdicts: dict[int, bool] = {}
         self.open: dict[int, bool] = {}
 
@@ -169,31 +216,36 @@ class Transducer:
             self.open[key] = any(self._may_follow(kind, token) for token in below)
         return self.open[key]
 
-    def _step(self, state: int, byte: int) -> tuple[int, int]:
-        """Make the transition of a state on a byte: the next state, and the token that may end here."""
-        grown, ended = [], -1
-        for kind, node in self.states[state]:
-            node = self.child.get(node << 8 | byte)
+    def _step(self, state: int, byte: int) -> int:
+        """Make the transition of a state on a byte: the next state and, in the low bits, the token that may end here."""
+        grown, ended, same = [], -1, self.branches.setdefault
+        for branch in self.states[state]:
+            kind, node = branch >> NODE, self.child.get((branch & DEEP) << 8 | byte)
             if node is None:
                 continue
             token = self.token[node]
             if token >= 0 and ended < 0 and self._may_follow(kind, token):
                 ended = token
             if node in self.inner and self._alive(kind, node):
-                grown.append((kind, node))
-        grown.append((self.kind(ended), 0))
+                branch = kind << NODE | node
+                grown.append(same(branch, branch))
+        branch = self.kind(ended) << NODE
+        grown.append(same(branch, branch))
         key = tuple(grown)
         number = self.number.setdefault(key, len(self.states))
         if number == len(self.states):
             self.states.append(key)
-        move = self.moves[state << 8 | byte] = (number, ended)
+        return number << NODE | ended
+
+    def _move(self, key: int) -> int:
+        move = self.own[key] = self._step(key >> 8, key & 255)
         return move
 
     def _path(self, ended: list[int], at: int) -> list[int]:
         """The tokens up to a place, last one first."""
         out, size = [], self.size
         while at:
-            token = ended[at - 1]
+            token = ended[at - 1] & DEEP
             out.append(token)
             at -= size[token]
         return out
@@ -208,10 +260,10 @@ class Transducer:
         for chunk in chunks:
             for at in range(0, len(chunk), LOOK):
                 for byte in chunk[at : at + LOOK]:
-                    move = self.moves.get(state << 8 | byte)
-                    state, token = move if move is not None else self._step(state, byte)
-                    ended.append(token)
-                paths = [self._path(ended, len(ended) - self.depth[node])[::-1] for _, node in self.states[state]]
+                    key = state << 8 | byte
+                    ended.append(self.own.get(key) or self._move(key))
+                    state = ended[-1] >> NODE
+                paths = [self._path(ended, len(ended) - self.depth[branch & DEEP])[::-1] for branch in self.states[state]]
                 agreed = [a for a, *_ in takewhile(lambda t: len(set(t)) == 1, zip(*paths))]
                 if agreed:
                     del ended[: sum(self.size[t] for t in agreed)]
@@ -221,19 +273,58 @@ class Transducer:
 
     def encode(self, piece: bytes) -> list[int]:
         """The tokens of one string."""
-        if len(self.moves) > self.limit:
+        if len(self.own) > self.limit:
             self.forget()
-        state, ended, moves = 0, [], self.moves
+        state, ended, moves = 0, [], self.own
         for byte in piece:
-            move = moves.get(state << 8 | byte)
-            state, token = move if move is not None else self._step(state, byte)
-            ended.append(token)
+            key = state << 8 | byte
+            move = moves.get(key) or self._move(key)
+            ended.append(move)
+            state = move >> NODE
         out = self._path(ended, len(ended))
         if len(out) > 1 and piece in self.ranks:  # a token that no merge makes
             return [self.ranks[piece]]
         out.reverse()
         return out
 
+    def encode_many(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of strings laid end to end, and the number of tokens of each; all strings move on together."""
+        if self.moves.count > self.limit:
+            self.forget()
+        size = np.diff(offsets)
+        order = np.argsort(-size, kind="stable")
+        order = order[np.searchsorted(-size[order], -LONG) :]  # the long ones are read by themselves
+        first, left = offsets[order], size[order]
+        state, ended = np.zeros(len(order), np.int64), np.zeros(len(data), np.int64)
+        for k in range(int(left[0]) if len(left) else 0):
+            n = np.searchsorted(-left, -k)  # longer than k
+            keys = state[:n] << 8 | data[first[:n] + k]
+            moves = self.moves.find(keys)
+            if len(new := np.unique(keys[moves < 0])):
+                self.moves.add(new, np.array([self._step(key >> 8, key & 255) for key in new.tolist()], np.int64))
+                moves[moves < 0] = self.moves.find(keys[moves < 0])
+            ended[first[:n] + k], state[:n] = moves & DEEP, moves >> NODE
+        # Back from each end: the token that ends there, then the place where it began.
+        at, of, taken, owner = first + left, order, [], []
+        while len(of := of[(on := at > offsets[of])]):
+            at = at[on]
+            taken.append(ended[at - 1])
+            owner.append(of)
+            at = at - self.lengths[taken[-1]]
+        ids, of = (np.concatenate(x)[::-1] if x else np.zeros(0, np.int64) for x in (taken, owner))
+        counts = np.bincount(of, minlength=len(size))
+        odd = {int(i): self.encode(data[offsets[i] : offsets[i + 1]].tobytes()) for i in np.flatnonzero(size >= LONG)}
+        if self.unmade:
+            for i in np.flatnonzero((counts > 1) & (size < LONG)):
+                if (piece := data[offsets[i] : offsets[i + 1]].tobytes()) in self.ranks:
+                    odd[int(i)] = [self.ranks[piece]]
+        if odd:
+            keep = ~np.isin(of, list(odd))
+            of = np.concatenate((of[keep], np.repeat(list(odd), [len(x) for x in odd.values()])))
+            ids = np.concatenate((ids[keep], np.array([t for x in odd.values() for t in x], np.int64)))
+            counts = np.bincount(of, minlength=len(size))
+        return ids[np.argsort(of, kind="stable")].astype(np.int32), counts
+
 
 class TextEncoder:
     """Token ids of texts: each match of a pattern is encoded by the transducer, distinct ones once."""
@@ -242,22 +333,6 @@ class TextEncoder:
         import regex
 
         self.transducer, self.pattern = Transducer(ranks), regex.compile(pattern)
-        self.known: dict[str, np.ndarray] = {}
-        self.former: dict[str, np.ndarray] = {}
-
-    def _recall(self, pieces: list[str]) -> list[np.ndarray]:
-        if len(self.known) > PIECES:
-            self.former, self.known = self.known, {}
-        found, encode = [], self.transducer.encode
-        for piece in pieces:
-            ids = self.known.get(piece)
-            if ids is None:
-                ids = self.former.get(piece)
-                if ids is None:
-                    ids = np.array(encode(piece.encode()), np.int32)
-                self.known[piece] = ids
-            found.append(ids)
-        return found
 
     def _runs(self, texts: list[str]) -> Iterator[tuple[int, list[str]]]:
         """Matches of each text in lists of bounded length: (text number, matches)."""
@@ -276,12 +351,12 @@ class TextEncoder:
         of: list[tuple[int, int]] = []
 
         def flush() -> None:
-            coded = pa.array(held, pa.string()).dictionary_encode()
-            cells, code = self._recall(coded.dictionary.to_pylist()), coded.indices.to_numpy()
-            size = np.fromiter(map(len, cells), np.int64, len(cells))
+            coded = pa.array(held, pa.large_string()).dictionary_encode()
+            distinct, code = coded.dictionary, coded.indices.to_numpy()
+            offsets = np.frombuffer(distinct.buffers()[1], np.int64)[distinct.offset : distinct.offset + len(distinct) + 1]
+            total, size = self.transducer.encode_many(np.frombuffer(distinct.buffers()[2] or b"", np.uint8), offsets)
             start, sizes = np.cumsum(size) - size, size[code]
             ends = np.cumsum(sizes)
-            total = np.concatenate(cells)
             out.append(total[np.repeat(start[code] - (ends - sizes), sizes) + np.arange(ends[-1])])
             stops = np.concatenate(([0], ends))[np.cumsum([0] + [n for _, n in of])]
             np.add.at(counts, [i for i, _ in of], np.diff(stops))
@@ -405,10 +480,11 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(read_ranks(path))
 
 
-def encode_texts(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_texts(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
     """Rows (doc_id long, ids array<int>) of every text, each match of ``pattern`` encoded by itself.
 
-    ``ranks`` is a file of Base64 tokens and ranks that all executors can read. A null text counts
+    ``ranks`` is a file of Base64 tokens and ranks that all executors can read. With ``decode`` the ids
+    are also decoded again, as by ``decode_ids``, to the columns ``decoded`` and ``intact``. A null text counts
     as empty and has no ids. Rows that repeat an id or a text each have a row; a null id stays null. Other columns,
     whatever their names, stay behind. An empty table gives none. Long texts are matched in runs of a
     bounded number of matches; a single long match is read byte by byte, in time that grows with its length.
@@ -417,16 +493,29 @@ def encode_texts(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_i
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(ranks, pattern)
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text", 2 << 20):
                 ids, counts = encoder.encode([t or "" for t in part.column("text").to_pylist()])
                 offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(ids))], ["doc_id", "ids"])
+                lists = pa.ListArray.from_arrays(offsets, pa.array(ids))
+                columns = [part.column("doc_id"), lists, *(_decoded(lists, vocabulary(ranks)) if decode else ())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded", "intact"][: len(columns)])
+
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>" + (", decoded string, intact boolean" if decode else ""))
+
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
+def _decoded(lists: pa.ListArray, words: Vocabulary, block: int = 1 << 16) -> list[pa.Array]:
+    texts, intact = [], []
+    for row in lists:
+        ids = row.values.drop_null().to_numpy() if row.is_valid else np.zeros(0, np.int32)
+        decoder = StreamDecoder(words)
+        parts = [decoder.feed(ids[i : i + block]) for i in range(0, len(ids), block)]
+        texts.append("".join([*parts, decoder.finish()]))
+        intact.append(decoder.intact)
+    return [pa.array(texts, pa.string()), pa.array(intact, pa.bool_())]
 
 
-def decode_ids(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str = "ids", keep: bool = False, block: int = 1 << 16) -> DataFrame:
-    """Rows (doc_id, text, intact): ids turned back to text, ``block`` of them at a time; with ``keep`` also the ids.
+def decode_ids(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str = "ids", block: int = 1 << 16) -> DataFrame:
+    """Rows (doc_id, text, intact): ids turned back to text, ``block`` of them at a time.
 
     ``intact`` is false where the bytes were not UTF-8; the text then holds U+FFFD. Null ids or a null
     list give an empty text; an id outside the vocabulary fails the job. Repeated rows stay, an
@@ -436,18 +525,9 @@ def decode_ids(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(ranks)
         for batch in batches:
-            column = batch.column("ids")
             for at in range(0, batch.num_rows, 256):
-                texts, intact = [], []
-                for row in column.slice(at, 256):
-                    ids = row.values.drop_null().to_numpy() if row.is_valid else np.zeros(0, np.int32)
-                    decoder = StreamDecoder(words)
-                    parts = [decoder.feed(ids[i : i + block]) for i in range(0, len(ids), block)]
-                    texts.append("".join([*parts, decoder.finish()]))
-                    intact.append(decoder.intact)
-                columns = [batch.column("doc_id").slice(at, 256), pa.array(texts, pa.string()), pa.array(intact, pa.bool_())]
-                columns += [column.slice(at, 256)] if keep else []
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "intact", "ids"][: len(columns)])
+                columns = [batch.column("doc_id").slice(at, 256), *_decoded(batch.column("ids").slice(at, 256), words, block)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "intact"])
 
     cells = encoded.select(encoded[id_col].cast("long").alias("doc_id"), encoded[ids_col].cast("array<int>").alias("ids"))
-    return cells.mapInArrow(run, "doc_id long, text string, intact boolean" + (", ids array<int>" if keep else ""))
+    return cells.mapInArrow(run, "doc_id long, text string, intact boolean")
