@@ -135,6 +135,8 @@ def test_whole_flow(spark, store, tmp_path):
     again = stored.where(F.col("snapshot_date") == F.lit(as_of)).select(single.columns)
     assert sorted(map(str, again.collect())) == sorted(map(str, single.collect()))
     assert daily.label_mature_snapshots(store, e, date(2026, 1, 28), horizon=7).rows == 9  # 18, 19, 21; 20 is done
+    assert daily.label_mature_snapshots(store, e, date(2026, 1, 28), horizon=7).rows == 0
+    assert store.read(daily.LABELS).count() == 12
     assert {r.snapshot_date.day for r in store.read(daily.LABELS).collect()} >= {18, 19, 20, 21}
 
     result = daily.monitor_drift(store)
@@ -181,20 +183,23 @@ def test_train_promote_and_score(spark, store):
 
 def test_late_events_rebuild_their_snapshots(spark, store):
     e = events(spark)
-    daily.backfill(store, e, date(2026, 1, 18), date(2026, 1, 22))
+    daily.backfill(store, e, date(2026, 1, 18), date(2026, 1, 20), built_at=datetime(2026, 1, 20, 18))
+    daily.backfill(store, e, date(2026, 1, 21), date(2026, 1, 22), built_at=datetime(2026, 1, 22, 18))
     late = e.limit(1).select(
         F.lit("late").alias("event_id"), F.lit("c1").alias("customer_id"), F.lit("payment").alias("event_type"),
         F.lit(datetime(2026, 1, 19)).alias("event_ts"), F.lit(None).cast("double").alias("usage_gb"),
         F.lit("failed").alias("payment_status"), F.lit(None).cast("string").alias("complaint_severity"),
         F.lit(datetime(2026, 1, 21)).alias("ingestion_timestamp"),
     )
-    dates = daily.rebuild_late_snapshots(store, e.unionByName(late))
+    everything = e.unionByName(late)
+    dates = daily.rebuild_late_snapshots(store, everything, built_at=datetime(2026, 1, 29))
     assert [d.day for d in dates] == [19, 20]
+    assert daily.rebuild_late_snapshots(store, everything) == []
     counts = {
         r.snapshot_date.day: r.payment_failures_30d
         for r in store.read(daily.FEATURES).where("customer_id = 'c1'").collect()
     }
-    assert counts == {18: 1, 19: 2, 20: 2, 21: 1, 22: 1}
+    assert counts == {18: 1, 19: 2, 20: 2, 21: 1, 22: 1}  # 21 and 22 were built after it came, from events without it
 
 
 def test_spans():

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewell.operators import mutation, runlog
+from tidewell.sources import tables
 from tidewell.sources.tables import WriteConflict, land_json_by_day
 
 D1, D2 = date(2026, 1, 1), date(2026, 1, 2)
@@ -103,6 +104,95 @@ def test_create_if_absent(spark, store):
     assert store.read("c").count() == 0 and store.read("c").columns == like.columns
 
 
+def test_insert_new_into_partitions(spark, store):
+    first = frame(spark, [("a", D1, 1), ("b", D2, 2), ("n", None, 5)])
+    assert store.insert_new("h", first, KEYS, ["snapshot_date"]).rows == 3
+    more = frame(spark, [("a", D1, 99), ("a", D2, 3), ("c", date(2026, 1, 3), 4), ("n", None, 6)])
+    # A null key matches nothing, as in MERGE.
+    assert [store.insert_new("h", more, KEYS).rows for _ in range(2)] == [3, 1]
+    rows = [tuple(r) for r in store.read("h").where("snapshot_date is not null").collect()]
+    assert sorted(rows) == [("a", D1, 1), ("a", D2, 3), ("b", D2, 2), ("c", date(2026, 1, 3), 4)]
+    store.append("h", frame(spark, [("z", D1, 7)]))  # goes by the table's own layout
+    assert {r.customer_id for r in store.read_partitions("h", "snapshot_date", [D1]).collect()} == {"a", "z"}
+    with pytest.raises(ValueError):
+        store.append("h", more, ["customer_id"])
+
+
+def test_insert_new_reads_only_touched_partitions(spark, store, monkeypatch):
+    store.insert_new("h", frame(spark, [(str(d), date(2026, 1, d), d) for d in range(1, 21)]), KEYS, ["snapshot_date"])
+    scanned = []
+    scan = type(store).scan
+    monkeypatch.setattr(type(store), "scan", lambda self, name, v: scanned.append(v.parts) or scan(self, name, v))
+    assert store.insert_new("h", frame(spark, [("1", D1, 0), ("x", D2, 0)]), KEYS).rows == 1
+    assert sorted(scanned[0].popitem()[1]) == ["snapshot_date=2026-01-01", "snapshot_date=2026-01-02"]
+
+
+def test_a_failed_write_leaves_the_old_rows(spark, store):
+    rows = frame(spark, [(f"k{i}", D1 if i % 2 else D2, i) for i in range(100)])
+    store.overwrite("t", rows, ["snapshot_date"])
+    before = content(store.read("t"))
+    bad = rows.withColumn("v", F.when(F.col("v") == 63, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("v") + 1))
+    for write in (
+        lambda: store.overwrite("t", bad, ["snapshot_date"]),
+        lambda: store.append("t", bad),
+        lambda: store.replace_partitions("t", bad, "snapshot_date"),
+        lambda: store.replace_partition("t", bad.where(F.col("snapshot_date") == F.lit(D1)), "snapshot_date", D1),
+        lambda: store.upsert("t", bad, KEYS, "snapshot_date"),
+    ):
+        with pytest.raises(Exception, match="lost"):
+            write()
+        assert content(store.read("t")) == before
+    store.vacuum("t", keep=1)
+    assert content(store.read("t")) == before
+
+
+def test_readers_keep_their_version(spark, store):
+    store.overwrite("t", frame(spark, [("a", D1, 1)]))
+    old = store.read("t")
+    store.overwrite("t", store.read("t").withColumn("v", F.col("v") + 1))  # reads what it replaces
+    assert content(old) == [("a", D1, 1)] and content(store.read("t")) == [("a", D1, 2)]
+    store.overwrite("t", frame(spark, []), ["snapshot_date"])
+    assert store.read("t").count() == 0 and store.read("t").columns == old.columns
+
+
+def test_a_second_writer_is_refused(spark, store):
+    store.overwrite("t", frame(spark, [("a", D1, 1)]))
+    seen = store.version("t")
+    store.append("t", frame(spark, [("b", D1, 1)]))
+    with pytest.raises(tables.ConcurrentWrite):
+        store._commit("t", seen, seen)
+    assert store.read("t").count() == 2
+
+
+def test_numbered_batches_are_added_once(spark, store):
+    for number, status in ((0, "appended"), (0, "skipped"), (1, "appended"), (0, "skipped")):
+        assert store.append("b", frame(spark, [("a", D1, number)]), batch=("s", number)).status == status
+    assert content(store.read("b")) == [("a", D1, 0), ("a", D1, 1)]
+
+
+def test_partition_values_with_odd_characters(spark, store):
+    rows = spark.createDataFrame([("a/b=c", 1), ("100%", 2), ("", 3), (None, 4), ("é", 5)], "k string, v int")
+    store.overwrite("t", rows, ["k"])
+    assert [r.v for r in store.read_partitions("t", "k", ["a/b=c", "é"]).orderBy("v").collect()] == [1, 5]
+    store.replace_partitions("t", rows.limit(0), "k", ["100%", None])  # an empty text is a null partition in Spark
+    assert sorted(r.v for r in store.read("t").collect()) == [1, 5]
+
+
+def test_columns_may_not_change_their_type(spark, store):
+    store.append("t", frame(spark, [("a", D1, 1)]))
+    with pytest.raises(TypeError, match="column v"):
+        store.append("t", frame(spark, [("a", D1, 1)]).withColumn("v", F.lit("x")))
+    assert content(store.read("t")) == [("a", D1, 1)]
+
+
+def test_vacuum_keeps_what_versions_need(spark, store):
+    store.overwrite("t", frame(spark, [("a", D1, 1), ("a", D2, 2)]), ["snapshot_date"])
+    for v in (3, 4):
+        store.replace_partition("t", frame(spark, [("a", D2, v)]), "snapshot_date", D2)
+    assert store.vacuum("t", keep=1) == 1  # the write of 3; the first one still holds D1
+    assert content(store.read("t")) == [("a", D1, 1), ("a", D2, 4)]
+
+
 def test_landing_layout(spark, tmp_path):
     land_json_by_day(frame(spark, [("a", D1, 1)]), str(tmp_path / "land"), "snapshot_date")
     assert list((tmp_path / "land" / "year=2026" / "month=01" / "day=01").glob("*.json"))

@@ -91,49 +91,72 @@ def build_customer_snapshot(store: TableStore, snapshot_date: date, run_id: str
     return result
 
 
-def build_feature_snapshot(store: TableStore, events: DataFrame, as_of: date) -> WriteResult:
+def build_feature_snapshot(
+    store: TableStore, events: DataFrame, as_of: date, built_at: datetime | None = None
+) -> WriteResult:
     """Features of one as-of date into their partition; skipped when there is no event yet."""
     with track_run(store, "build_features", f"build-features-{as_of.isoformat()}") as run:
         customers = store.read(CUSTOMERS) if store.exists(CUSTOMERS) else None
         if events.where(bands.up_to(events, "event_ts", as_of)).isEmpty():
             run.status, run.output = "skipped", {"reason": "no events on or before as_of_date"}
             return WriteResult("skipped", 0)
-        rows = features.feature_snapshot(events, as_of, snapshots=customers)
+        rows = features.feature_snapshot(events, as_of, snapshots=customers, built_at=built_at)
         result = store.replace_partition(FEATURES, rows, "snapshot_date", as_of)
         run.output = {"as_of_date": as_of, "customers": result.rows, "features": len(rows.columns) - 3}
     return result
 
 
 def build_labels(
-    store: TableStore, events: DataFrame, as_of: date, today: date, horizon: int = labels.HORIZON_DAYS
+    store: TableStore,
+    events: DataFrame,
+    as_of: date,
+    today: date,
+    horizon: int = labels.HORIZON_DAYS,
+    labeled_at: datetime | None = None,
 ) -> WriteResult:
     """Labels of one snapshot date; skipped before maturity or without a snapshot."""
     with track_run(store, "generate_labels", f"labels-{as_of.isoformat()}") as run:
         if not labels.is_mature(as_of, today, horizon):
             run.status, run.output = "skipped", {"reason": "label not yet mature"}
             return WriteResult("skipped", 0)
-        snapshot = store.read(FEATURES).where(F.col("snapshot_date") == F.lit(as_of))
+        snapshot = store.read_partitions(FEATURES, "snapshot_date", [as_of])
         if snapshot.isEmpty():
             run.status, run.output = "skipped", {"reason": "no feature snapshot"}
             return WriteResult("skipped", 0)
         spec = labels.LabelSpec(horizon=horizon)
-        result = store.replace_partition(
-            LABELS, labels.delayed_labels(events, snapshot, as_of, today, spec), "snapshot_date", as_of
-        )
+        rows = labels.delayed_labels(events, snapshot, as_of, today, spec, labeled_at)
+        result = store.replace_partition(LABELS, rows, "snapshot_date", as_of)
         run.output = {"as_of_date": as_of, "total_customers": result.rows}
     return result
 
 
 def label_mature_snapshots(
-    store: TableStore, events: DataFrame, today: date, horizon: int = labels.HORIZON_DAYS
+    store: TableStore,
+    events: DataFrame,
+    today: date,
+    horizon: int = labels.HORIZON_DAYS,
+    labeled_at: datetime | None = None,
 ) -> WriteResult:
-    """Label every mature snapshot row that has no label yet, also on dates labelled before."""
+    """Label every mature snapshot row that has no label yet, also on dates labelled before.
+
+    Only the dates that have matured are read, and a second call appends nothing.
+    """
     spec = labels.LabelSpec(horizon=horizon)
-    if not store.exists(LABELS):
-        return store.replace_partitions(LABELS, labels.mature_labels(events, store.read(FEATURES), today, spec), "snapshot_date")
-    done = store.read(LABELS)
-    rows = labels.mature_labels(events, store.read(FEATURES), today, spec, done)
-    return store.insert_new(LABELS, rows, [spec.entity, "snapshot_date"])
+    mature = [d for d in stored_dates(store, FEATURES) if labels.is_mature(d, today, horizon)]
+    snapshots = store.read_partitions(FEATURES, "snapshot_date", mature)
+    done = None
+    if store.exists(LABELS):
+        done = store.read_partitions(LABELS, "snapshot_date", mature)
+    rows = labels.mature_labels(events, snapshots, today, spec, done, labeled_at)
+    return store.insert_new(LABELS, rows, [spec.entity, "snapshot_date"], ["snapshot_date"])
+
+
+def stored_dates(store: TableStore, name: str, column: str = "snapshot_date") -> list[date]:
+    """The dates a table has partitions for, told by its version; no job, no scan."""
+    version = store.version(name)
+    folders = {f for ps in version.parts.values() for p in ps for f in p.split("/")} if version else set()
+    found = (f.split("=", 1)[1] for f in folders if f.startswith(f"{column}="))
+    return sorted(date.fromisoformat(v) for v in found if v[:1].isdigit())
 
 
 def training_set(store: TableStore) -> DataFrame:
@@ -141,21 +164,23 @@ def training_set(store: TableStore) -> DataFrame:
     return store.view("training_dataset", labels.training_set(store.read(FEATURES), store.read(LABELS)))
 
 
-def backfill(store: TableStore, events: DataFrame, start: date, end: date, dry_run: bool = False) -> Sequence[date]:
+def backfill(
+    store: TableStore, events: DataFrame, start: date, end: date, dry_run: bool = False, built_at: datetime | None = None
+) -> Sequence[date]:
     """Rebuild the feature snapshots of every date in [start, end] in one job.
 
     Returns the dates; none when start is after end. Attributes are those known at
-    each date.
+    each date. A date that now has no rows is emptied. ``built_at`` states the build time.
     """
     dates = features.dates_in(start, end)
     if dry_run or not dates:
         return dates
     with track_run(store, "backfill", f"backfill-{start.isoformat()}-{end.isoformat()}") as run:
-        rows = features.feature_snapshots(events, start, end)
+        rows = features.feature_snapshots(events, start, end, built_at=built_at)
         if store.exists(CUSTOMERS):
             rows = features.attributes_for_dates(rows, store.read(CUSTOMERS), features.CUSTOMER_FEATURES)
         names = [*_feature_order(rows), "snapshot_date", "_built_at"]
-        result = store.replace_partitions(FEATURES, rows.select(*names), "snapshot_date")
+        result = store.replace_partitions(FEATURES, rows.select(*names), "snapshot_date", dates)
         run.output = {"dates": len(dates), "rows": result.rows}
     return dates
 
@@ -165,7 +190,7 @@ def _feature_order(rows: DataFrame) -> list[str]:
     return [spec.entity, *[n for n in features.feature_names(spec) if n in rows.columns]]
 
 
-def rebuild_late_snapshots(store: TableStore, events: DataFrame) -> Sequence[date]:
+def rebuild_late_snapshots(store: TableStore, events: DataFrame, built_at: datetime | None = None) -> Sequence[date]:
     """Rebuild the snapshots that events ingested after their build touch, one date span at a time.
 
     However old the event is, it counts. A rebuilt snapshot has a newer build time, so that a second
@@ -174,19 +199,26 @@ def rebuild_late_snapshots(store: TableStore, events: DataFrame) -> Sequence[dat
     late = labels.stale_snapshot_dates(events, store.read(FEATURES))
     dates = sorted(r.snapshot_date for r in late.select("snapshot_date").collect())
     for first, last in contiguous(dates):
-        backfill(store, events, first, last)
+        backfill(store, events, first, last, built_at=built_at)
     return dates
 
 
-def relabel_late_outcomes(store: TableStore, events: DataFrame, today: date, horizon: int = labels.HORIZON_DAYS) -> Sequence[date]:
+def relabel_late_outcomes(
+    store: TableStore,
+    events: DataFrame,
+    today: date,
+    horizon: int = labels.HORIZON_DAYS,
+    labeled_at: datetime | None = None,
+) -> Sequence[date]:
     """Redo the labels of the dates whose outcome band got an event after they were labelled."""
     spec = labels.LabelSpec(horizon=horizon)
     done = store.read(LABELS)
     late = labels.stale_label_dates(events, done, spec).select("snapshot_date")
     dates = sorted(r.snapshot_date for r in late.collect())
     if dates:
-        again = store.read(FEATURES).where(F.col("snapshot_date").isin(dates))
-        store.replace_partitions(LABELS, labels.mature_labels(events, again, today, spec), "snapshot_date")
+        again = store.read_partitions(FEATURES, "snapshot_date", dates)
+        rows = labels.mature_labels(events, again, today, spec, labeled_at=labeled_at)
+        store.replace_partitions(LABELS, rows, "snapshot_date", dates)
     return dates
 
 

@@ -96,6 +96,36 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file; None where there is none."""
+    target, fs = hadoop_path(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside its place and rename it over the old one, so readers see one or the other."""
+    jvm = spark._jvm
+    target, fs = hadoop_path(spark, path)
+    beside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:12]}.tmp")
+    fs.mkdirs(target.getParent())
+    stream = fs.create(beside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(beside), fs.makeQualified(target), options)
+
+
 def clear_scratch(spark: SparkSession) -> bool:
     """Delete all that this application staged. Call it when no staged frame is still in use."""
     return delete_path(spark, f"{scratch_root(spark)}/tidewell/{spark.sparkContext.applicationId}")

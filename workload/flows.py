@@ -116,6 +116,31 @@ SELECT customer_id, DATE '{AS_OF}' AS snapshot_date, payment_count_30d, days_sin
 FROM f LEFT JOIN good USING (customer_id) LEFT JOIN l USING (customer_id)"""
 
 
+def label_mature_flow(spark, sf):
+    """Snapshots of four weeks, labelled at three times as they mature; a repeated call adds nothing."""
+    store = TableStore(spark, scratch_path(spark, "labels"))
+    events = contract_events(spark, sf)
+    daily.backfill(store, events, date(2024, 1, 2), date(2024, 1, 29))
+    added = [
+        daily.label_mature_snapshots(store, events, today, horizon=7).rows
+        for today in (date(2024, 1, 15), date(2024, 1, 20), date(2024, 1, 20), date(2024, 1, 30))
+    ]
+    labelled = store.read(daily.LABELS)
+    steps = F.lit(",".join("none" if n == 0 else "some" for n in added)).alias("calls")
+    return labelled.select("customer_id", "snapshot_date", "churned", "maturity_date", steps)
+
+
+LABEL_FLOW_SQL = f"""
+WITH {CONTRACT_EVENTS},
+days AS (SELECT CAST(unnest(generate_series(DATE '2024-01-02', DATE '2024-01-23', INTERVAL 1 DAY)) AS DATE) AS snapshot_date),
+seen AS (SELECT customer_id, CAST(min(event_ts) AS DATE) AS first_day FROM ev GROUP BY customer_id),
+c AS (SELECT DISTINCT customer_id, CAST(event_ts AS DATE) AS day FROM ev WHERE event_type = 'cancellation')
+SELECT customer_id, snapshot_date, CAST(EXISTS (SELECT 1 FROM c WHERE c.customer_id = seen.customer_id
+         AND c.day > snapshot_date AND c.day <= snapshot_date + 7) AS INTEGER) AS churned,
+       CAST(snapshot_date + 7 AS DATE) AS maturity_date, 'some,some,none,some' AS calls
+FROM days JOIN seen ON first_day <= snapshot_date"""
+
+
 def require_unique_seed(spark, sf):
     """Customers whose trimmed id is unique, after the structural check passed."""
     ids = seed_rows(spark, sf).select(F.trim("customerID").alias("customer_id"))
@@ -126,6 +151,7 @@ QUERIES = {
     "segment_churn": (segment_churn, SEGMENT_CHURN_SQL),
     "seed_csv": (seed_csv, SEED_CSV_SQL),
     "daily_flow": (daily_flow, DAILY_SQL),
+    "label_mature_flow": (label_mature_flow, LABEL_FLOW_SQL),
     "require_unique_seed": (
         require_unique_seed,
         f"WITH {SEED_ROWS} SELECT trim(customer_id) AS customer_id FROM seed",

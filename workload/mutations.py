@@ -71,6 +71,42 @@ def insert_only_table(spark, sf):
     return store.read("history").groupBy("month", "o_orderstatus").agg(F.count("*").alias("orders"))
 
 
+def insert_only_partitioned(spark, sf):
+    """Insert-only merge into a table partitioned by month, the batch given twice; no row is lost or doubled."""
+    store = TableStore(spark, scratch_path(spark, "history-by-month"))
+    store.insert_new("history", _target(spark, sf), KEYS, ["month"])
+    for _ in range(2):
+        store.insert_new("history", _source(spark, sf), KEYS)
+    return store.read("history").select("o_orderkey", "month", "o_orderstatus", "o_totalprice")
+
+
+class Interrupted(RuntimeError):
+    """Stands for a job that dies while it writes."""
+
+
+def overwrite_versions(spark, sf):
+    """A table replaced by a frame that reads it, then by a write that fails, then one month replaced and one emptied."""
+    store = TableStore(spark, scratch_path(spark, "versions"))
+    store.overwrite("orders", _target(spark, sf), ["month"])
+    first = store.read("orders")
+    store.overwrite("orders", first.withColumn("o_totalprice", F.col("o_totalprice") + 1), ["month"])
+    dies = F.when(F.col("o_orderkey") % 3 == 0, F.raise_error(F.lit("interrupted")).cast("double")).otherwise(0.0)
+    try:
+        store.overwrite("orders", store.read("orders").withColumn("o_totalprice", dies), ["month"])
+        raise Interrupted("the write should have failed")
+    except Interrupted:
+        raise
+    except Exception as error:
+        if "interrupted" not in str(error):
+            raise
+    march = first.where(F.col("month") == F.lit(date(1998, 3, 1)))
+    store.replace_partitions("orders", march, "month", [date(1998, 3, 1), date(1998, 4, 1)])
+    # ``first`` is still what it was.
+    old = first.groupBy("month").agg(F.count("*").alias("orders_before"), F.round(F.sum("o_totalprice"), 2).alias("total_before"))
+    new = store.read("orders").groupBy("month").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return old.join(new, "month", "left")
+
+
 REPLACED = date(2024, 1, 12)
 
 
@@ -135,6 +171,20 @@ QUERIES = {
         f"WITH {TARGET_SOURCE}, r AS (SELECT * FROM tgt UNION ALL SELECT * FROM src WHERE o_orderkey NOT IN "
         "(SELECT o_orderkey FROM tgt)) SELECT month, o_orderstatus, count(*) AS orders FROM r GROUP BY ALL",
     ),
+    "insert_only_partitioned": (
+        insert_only_partitioned,
+        f"WITH {TARGET_SOURCE} SELECT o_orderkey, month, o_orderstatus, o_totalprice FROM tgt UNION ALL "
+        "SELECT o_orderkey, month, o_orderstatus, o_totalprice FROM src WHERE NOT EXISTS "
+        "(SELECT 1 FROM tgt WHERE tgt.o_orderkey = src.o_orderkey AND tgt.month = src.month)",
+    ),
+    "overwrite_versions": (
+        overwrite_versions,
+        f"""WITH {TARGET_SOURCE},
+a AS (SELECT month, count(*) AS orders_before, round(sum(o_totalprice), 2) AS total_before FROM tgt GROUP BY month),
+b AS (SELECT month, count(*) AS orders, round(sum(o_totalprice + CASE WHEN month = DATE '1998-03-01' THEN 0 ELSE 1 END), 2) AS total
+      FROM tgt WHERE month <> DATE '1998-04-01' GROUP BY month)
+SELECT month, orders_before, total_before, orders, total FROM a LEFT JOIN b USING (month)""",
+    ),
     "partition_replace": (
         partition_replace,
         "SELECT CAST(ts AS DATE) AS snapshot_date, user_id, count(*) + CASE WHEN CAST(ts AS DATE) = DATE '2024-01-12' "
