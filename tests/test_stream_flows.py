@@ -22,9 +22,9 @@ def line(i, day="01", **extra):
 
 
 @pytest.fixture
-def zone(tmp_path):
+def zone(store, tmp_path):
     class Zone:
-        landing, bronze, rejects, checkpoint = (str(tmp_path / n) for n in ("landing", "bronze", "rejects", "cp"))
+        landing, checkpoint = (str(tmp_path / n) for n in ("landing", "cp"))
 
         def land(self, name, *lines):
             folder = tmp_path / "landing" / "year=2026" / "month=01" / "day=01"
@@ -32,8 +32,8 @@ def zone(tmp_path):
             (folder / f"{name}.jsonl").write_text("\n".join(lines) + "\n")
 
         def run(self, spark, settings=ingest.IngestSettings()):
-            ingest.ingest_events(spark, self.landing, self.bronze, self.rejects, self.checkpoint, settings)
-            return spark.read.parquet(self.bronze), spark.read.parquet(self.rejects)
+            ingest.ingest_events(store, self.landing, self.checkpoint, settings)
+            return store.read(ingest.BRONZE), store.read(ingest.REJECTS)
 
     return Zone()
 
@@ -51,20 +51,44 @@ def test_ingest_dedups_over_runs_and_keeps_bad_lines(spark, zone):
     summary = ingest.ingest_summary(bronze).first()
     assert (summary.total_rows, summary.rescued_rows) == (2, 1)
 
-    zone.run(spark)  # nothing new
-    assert spark.read.parquet(zone.bronze).count() == 2
+    bronze, _ = zone.run(spark)  # nothing new
+    assert bronze.count() == 2
     zone.land("b", line("e1"), line("e3"))
     bronze, rejects = zone.run(spark)
     assert sorted(r.event_id for r in bronze.collect()) == ["e1", "e2", "e3"] and rejects.count() == 4
 
 
-def test_ingest_with_bounded_state(spark, zone):
+def test_dedup_with_bounded_state(spark, zone, tmp_path):
     settings = ingest.IngestSettings(watermark="2 days", max_files_per_trigger=1)
-    zone.land("a", line("e1"), line("e1"), line("e2"))
-    zone.run(spark, settings)
-    zone.land("b", line("e2"), line("e4"))
-    bronze, _ = zone.run(spark, settings)
-    assert sorted(r.event_id for r in bronze.collect()) == ["e1", "e2", "e4"]
+    out = str(tmp_path / "out")
+    for name, ids in (("a", ("e1", "e1", "e2")), ("b", ("e2", "e4"))):
+        zone.land(name, *map(line, ids))
+        stream = ingest.deduplicated(ingest.read_event_stream(spark, zone.landing, settings), settings)
+        ingest.append_stream(stream, out, zone.checkpoint).awaitTermination()
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["e1", "e2", "e4"]
+
+
+def test_a_repeated_batch_completes_what_is_missing(spark, store, zone, monkeypatch):
+    zone.land("a", line("e1"), line("e2", day="02"), line("e2", day="02"), "{broken")
+    parsed = ingest.enrich(read_json_lines(spark, zone.landing, EVENT_CONTRACT).withColumn("_source_file", F.lit("a")), ingest.IngestSettings())
+    append, dead = type(store).append, []
+
+    def dies(self, name, *rest, **more):
+        if name == ingest.BRONZE and not dead:
+            dead.append(name)
+            raise RuntimeError("lost")
+        return append(self, name, *rest, **more)
+
+    monkeypatch.setattr(type(store), "append", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        ingest.land_batch(store, parsed, "s", 0)
+    for _ in range(3):
+        ingest.land_batch(store, parsed, "s", 0)
+    assert sorted(r.event_id for r in store.read(ingest.BRONZE).collect()) == ["e1", "e2"]
+    assert store.read(ingest.REJECTS).count() == 1 and store.read(ingest.ARRIVALS).agg(F.sum("events")).first()[0] == 2
+    ingest.land_batch(store, parsed, "s", 1)  # the same events in a later batch
+    assert store.read(ingest.BRONZE).count() == 2 and store.read(ingest.ARRIVALS).count() == 2
+    assert [d.day for d in daily.stored_dates(store, ingest.BRONZE, ingest.DAY)] == [1, 2]
 
 
 def test_batch_reader_equals_stream_parse(spark, zone):

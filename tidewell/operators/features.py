@@ -219,7 +219,14 @@ def feature_snapshots(
     anything is ordered, so an entity holds at most as many rows as it has days.
     """
     past = events.where(bands.up_to(events, spec.ts, end))
-    day = F.to_date(F.col(spec.ts)).alias("_day")
+    return snapshots_from_days(entity_days(past, spec), start, end, spec, built_at)
+
+
+def entity_days(events: DataFrame, spec: FeatureSpec = CUSTOMER_FEATURES, day: str = "_day") -> DataFrame:
+    """One row per entity and day: counts, the newest value with its order key, sum and number of values, last time.
+
+    The rows of different days, or of any split of the events by day, can be merged.
+    """
     partial = [F.count_if(c.match(spec.kind)).alias(f"_n_{c.name}") for c in spec.counts]
     if spec.level:
         hit = F.col(spec.kind) == spec.level.kind
@@ -227,12 +234,87 @@ def feature_snapshots(
         key = F.when(hit, _order_key(events, spec))
         partial += [
             F.max_by(value, key).alias("_latest"),
+            F.max(key).alias("_latest_key"),
             F.count_if(hit).alias("_measured"),
             F.sum(F.when(hit, value)).alias("_sum"),
             F.count(F.when(hit, value)).alias("_values"),
         ]
-    daily = past.groupBy(spec.entity, day).agg(*partial)
+    partial.append(F.max(spec.ts).alias("_last_ts"))
+    return events.where(F.col(spec.ts).isNotNull()).groupBy(spec.entity, F.to_date(F.col(spec.ts)).alias(day)).agg(*partial)
+
+
+def carried_state(days: DataFrame, state: DataFrame | None, as_of: date, spec: FeatureSpec = CUSTOMER_FEATURES) -> DataFrame:
+    """One row per entity: the last time and the newest value up to ``as_of``.
+
+    ``days`` are entity days after those that ``state`` covers, up to ``as_of``.
+    """
+    names = _state_columns(spec)
+    rows = days.select(spec.entity, *names)
+    if state is not None:
+        rows = rows.unionByName(state.select(spec.entity, *names))
+    return rows.groupBy(spec.entity).agg(*_merged_state(spec)).withColumn("state_day", F.lit(as_of).cast("date"))
+
+
+def _state_columns(spec: FeatureSpec) -> list[str]:
+    return ["_last_ts", *(["_latest", "_latest_key"] if spec.level else [])]
+
+
+def _merged_state(spec: FeatureSpec) -> list[Column]:
+    merged = [F.max("_last_ts").alias("_last_ts")]
+    if spec.level:
+        merged += [F.max_by("_latest", "_latest_key").alias("_latest"), F.max("_latest_key").alias("_latest_key")]
+    return merged
+
+
+def reach(spec: FeatureSpec = CUSTOMER_FEATURES) -> int:
+    """How many days before the as-of date the windows look at."""
+    return max([*spec.windows, *([2 * spec.level.days] if spec.level else [])])
+
+
+def snapshot_from_days(
+    days: DataFrame,
+    state: DataFrame | None,
+    as_of: date,
+    spec: FeatureSpec = CUSTOMER_FEATURES,
+    built_at: datetime | None = None,
+    day: str = "_day",
+) -> DataFrame:
+    """``feature_snapshot`` without attributes, from the entity days within reach and the state before them.
+
+    ``days`` holds the days from ``as_of - reach`` to ``as_of`` and may hold others; ``state`` may cover
+    some of these days too, but none after ``as_of``. One aggregate over both, so one shuffle.
+    """
+    near = lambda n: F.col(day) >= F.lit(as_of - timedelta(days=n))
+    rows = days.where(F.col(day) <= F.lit(as_of))
+    if state is not None:
+        rows = rows.unionByName(state.select(spec.entity, *_state_columns(spec)), allowMissingColumns=True)
+    out: list[Column] = []
+    for n in spec.windows:
+        out += [F.coalesce(F.sum(F.when(near(n), F.col(f"_n_{c.name}"))), F.lit(0)).alias(f"{c.name}_{n}d") for c in spec.counts]
+    if spec.level:
+        lv = spec.level
+
+        def mean(inside: Column) -> Column:
+            return F.try_divide(F.sum(F.when(inside, F.col("_sum"))), F.sum(F.when(inside, F.col("_values"))))
 
+        out += [mean(near(lv.days)).alias(lv.mean), mean(near(2 * lv.days) & ~near(lv.days)).alias(lv.prior_mean)]
+    grouped = rows.groupBy(spec.entity).agg(*out, *_merged_state(spec))
+    extra = _ratio_columns(spec)
+    if spec.level:
+        extra += [F.col("_latest").alias(spec.level.latest), _delta_column(spec.level)]
+    if spec.recency:
+        extra.append(F.datediff(F.lit(as_of), F.col("_last_ts")).alias(spec.recency))
+    names = [n for n in feature_names(spec) if n not in spec.attributes]
+    stamp = F.lit(built_at).cast("timestamp") if built_at else F.current_timestamp()
+    return grouped.select("*", *extra).select(
+        spec.entity, *names, F.lit(as_of).cast("date").alias("snapshot_date"), stamp.alias("_built_at")
+    )
+
+
+def snapshots_from_days(
+    daily: DataFrame, start: date, end: date, spec: FeatureSpec = CUSTOMER_FEATURES, built_at: datetime | None = None
+) -> DataFrame:
+    """The snapshots of every date in [start, end] from all entity days up to ``end``."""
     # Each entity's first day carries the probe rows for the requested dates; the
     # windows before and after share the entity partitioning, so this adds no shuffle.
     by_entity = Window.partitionBy(spec.entity)

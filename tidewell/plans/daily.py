@@ -19,10 +19,11 @@ from tidewell.operators.runlog import track_run
 from tidewell.session import staged
 from tidewell.sources.readers import read_seed_csv
 from tidewell.sources.tables import TableStore, WriteResult
-from tidewell.streaming.ingest import IngestSettings, ingest_events, ingest_summary
+from tidewell.streaming.ingest import ARRIVALS, BRONZE, DAY, IngestSettings, ingest_events, ingest_summary
 
-EVENTS = "events_bronze"
-REJECTS = "events_rejected"
+EVENTS = BRONZE
+DAYS = "entity_days"
+STATE = "entity_state"
 CUSTOMERS_RAW = "customer_bronze"
 CUSTOMERS = "customer_silver"
 SUMMARY = "churn_summary"
@@ -47,7 +48,7 @@ def seed_customers(store: TableStore, csv_path: str) -> WriteResult:
 def ingest(store: TableStore, landing: str, checkpoint: str, settings: IngestSettings = IngestSettings()) -> DataFrame:
     """Drain the landing folder into the bronze and reject tables; returns bronze."""
     with track_run(store, "ingest_events") as run:
-        ingest_events(store.spark, landing, store.path(EVENTS), store.path(REJECTS), checkpoint, settings)
+        ingest_events(store, landing, checkpoint, settings)
         bronze = store.read(EVENTS)
         summary = ingest_summary(bronze).first()
         run.output = summary.asDict()
@@ -106,6 +107,154 @@ def build_feature_snapshot(
     return result
 
 
+def clean_events(store: TableStore, days: Sequence[date] | None = None) -> DataFrame:
+    """Bronze events that break no quarantine rule, of all days or of those given."""
+    events = store.read(EVENTS) if days is None else store.read_partitions(EVENTS, DAY, days)
+    return quality.QualityCheck(events, quality.EVENT_RULES).clean()
+
+
+def pending_arrivals(store: TableStore, consumer: str) -> tuple[DataFrame, dict[str, int]]:
+    """Arrivals that a table does not cover yet, and the marks to store with it once it does.
+
+    A batch counts when bronze has it. Batches are told by the folders of the log, so neither events
+    nor older arrivals are read.
+    """
+    bronze, log, seen = store.version(EVENTS), store.version(ARRIVALS), store.version(consumer)
+    have = seen.marks if seen else {}
+    marks = {s: n for s, n in bronze.marks.items() if n > have.get(s, -1)} if bronze else {}
+
+    def fresh(path: str) -> bool:
+        source, batch = (part.split("=", 1)[1] for part in path.split("/"))
+        return have.get(source, -1) < int(batch) <= marks.get(source, -1)
+
+    return store.scan(ARRIVALS, log.only(p for ps in log.parts.values() for p in ps if fresh(p))), marks
+
+
+def refresh_days(store: TableStore) -> Sequence[date]:
+    """Bring the entity days up to what bronze holds: only days with new events are read and replaced.
+
+    Stored states from the first of these days on are dropped. Returns the days; a second call finds none.
+    """
+    if not store.exists(EVENTS):
+        return []
+    arrivals, marks = pending_arrivals(store, DAYS)
+    if not marks:
+        return []
+    days = sorted(r[0] for r in arrivals.where(F.col(DAY).isNotNull()).select(DAY).distinct().collect())
+    stale = [d for d in stored_dates(store, STATE, "state_day") if days and d >= days[0]]
+    if stale:
+        store.replace_partitions(STATE, store.read(STATE).limit(0), "state_day", stale)
+    rows = features.entity_days(clean_events(store, days), day=DAY)
+    store.replace_partitions(DAYS, rows, DAY, days, marks)
+    return days
+
+
+def state_before(store: TableStore, as_of: date) -> DataFrame | None:
+    """A state that, with the days within reach, tells all about the entities as of a date.
+
+    Any stored state of the last ``reach + 1`` days will do. Otherwise one is made for the day before
+    the reach, from the newest older state and the days since, and stored.
+    """
+    spec, edge = features.CUSTOMER_FEATURES, as_of - timedelta(days=features.reach() + 1)
+    stored = [d for d in stored_dates(store, STATE, "state_day") if d <= as_of]
+    if stored and stored[-1] >= edge:
+        return store.read_partitions(STATE, "state_day", [stored[-1]])
+    older = stored[-1] if stored else None
+    days = [d for d in stored_dates(store, DAYS, DAY) if d <= edge and (older is None or d > older)]
+    if older is None and not days:
+        return None
+    state = store.read_partitions(STATE, "state_day", [older]) if older else None
+    store.replace_partition(STATE, features.carried_state(store.read_partitions(DAYS, DAY, days), state, edge, spec), "state_day", edge)
+    return store.read_partitions(STATE, "state_day", [edge])
+
+
+def build_snapshot_from_days(store: TableStore, as_of: date, built_at: datetime | None = None) -> WriteResult:
+    """Features of one date from the entity days within reach and a carried state; events are not read.
+
+    The state as of the date is stored as well, so the next snapshot reads at most ``reach + 1`` days.
+    """
+    with track_run(store, "build_features", f"build-features-{as_of.isoformat()}") as run:
+        spec = features.CUSTOMER_FEATURES
+        first = as_of - timedelta(days=features.reach())
+        state = state_before(store, as_of)
+        held = state.first() if state is not None else None
+        within = [d for d in stored_dates(store, DAYS, DAY) if first <= d <= as_of]
+        days = store.read_partitions(DAYS, DAY, within)
+        rows = features.snapshot_from_days(days, state, as_of, spec, built_at, DAY)
+        if store.exists(CUSTOMERS):
+            rows = features.attributes_for_dates(rows, store.read(CUSTOMERS), spec)
+        rows = rows.select(*_feature_order(rows), "snapshot_date", "_built_at")
+        covered = store.version(DAYS).marks if not stored_dates(store, FEATURES) else None
+        result = store.replace_partitions(FEATURES, rows, "snapshot_date", [as_of], covered)
+        if held is None or held.state_day < as_of:
+            since = store.read_partitions(DAYS, DAY, [d for d in within if held is None or d > held.state_day])
+            store.replace_partition(STATE, features.carried_state(since, state, as_of, spec), "state_day", as_of)
+        run.output = {"as_of_date": as_of, "customers": result.rows}
+    return result
+
+
+def repair_features(store: TableStore, built_at: datetime | None = None) -> Sequence[date]:
+    """Redo the rows of stored snapshots that events arrived since touch; returns the dates rewritten.
+
+    Touched are the entities of the new arrivals, on every stored date from the first new event's day on.
+    Their entity days are read, no events. The marks go with the rows: a second call finds nothing.
+    """
+    refresh_days(store)
+    if not store.exists(FEATURES):
+        return []
+    arrivals, marks = pending_arrivals(store, FEATURES)
+    if not marks:
+        return []
+    spec = features.CUSTOMER_FEATURES
+    with staged(arrivals.where(F.col(DAY).isNotNull()).groupBy(spec.entity).agg(F.min(DAY).alias("_first")), "touched") as touched:
+        first = touched.agg(F.min("_first")).first()[0]
+        dates = [d for d in stored_dates(store, FEATURES) if first and d >= first]
+        old = store.read_partitions(FEATURES, "snapshot_date", dates)
+        if not dates:
+            store.replace_partitions(FEATURES, old.limit(0), "snapshot_date", [], marks)
+            return []
+        days = store.read_partitions(DAYS, DAY, [d for d in stored_dates(store, DAYS, DAY) if d <= dates[-1]])
+        days = days.join(touched, spec.entity, "left_semi").withColumnRenamed(DAY, "_day")
+        rows = features.snapshots_from_days(days, dates[0], dates[-1], spec, built_at)
+        rows = rows.join(touched, spec.entity).where(F.col("snapshot_date").isin(dates) & (F.col("snapshot_date") >= F.col("_first")))
+        if store.exists(CUSTOMERS):
+            rows = features.attributes_for_dates(rows, store.read(CUSTOMERS), spec)
+        rows = rows.select(*_feature_order(rows), "snapshot_date", "_built_at")
+        with staged(rows, "repaired") as redone:
+            kept = old.join(redone, [spec.entity, "snapshot_date"], "left_anti")
+            store.replace_partitions(FEATURES, kept.unionByName(redone, allowMissingColumns=True), "snapshot_date", dates, marks)
+    return dates
+
+
+def repair_labels(store: TableStore, horizon: int = labels.HORIZON_DAYS, labeled_at: datetime | None = None) -> Sequence[date]:
+    """Set the labels whose outcome band got an outcome since; returns the dates rewritten.
+
+    An event is never taken back, so a late one can only turn a label to 1. Only the arrivals and
+    the labels of the dates in reach are read. A second call finds nothing.
+    """
+    if not (store.exists(LABELS) and store.exists(EVENTS)):
+        return []
+    arrivals, marks = pending_arrivals(store, LABELS)
+    if not marks:
+        return []
+    spec = labels.LabelSpec(horizon=horizon)
+    outcomes = arrivals.where((F.col(spec.kind) == spec.outcome) & F.col(DAY).isNotNull()).select(spec.entity, DAY)
+    band = F.sequence(F.date_sub(DAY, horizon), F.date_sub(DAY, 1))
+    with staged(outcomes.select(spec.entity, F.explode(band).alias("snapshot_date")).distinct(), "late-outcomes") as hits:
+        reached = {r[0] for r in hits.select("snapshot_date").distinct().collect()}
+        old = store.read_partitions(LABELS, "snapshot_date", [d for d in stored_dates(store, LABELS) if d in reached])
+        stamp = F.lit(labeled_at).cast("timestamp") if labeled_at else F.current_timestamp()
+        late = (F.col(spec.label) == 0) & F.col("_late").isNotNull()
+        marked = old.join(hits.withColumn("_late", F.lit(1)), [spec.entity, "snapshot_date"], "left")
+        changed = marked.where(late).select("snapshot_date").distinct().collect()
+        dates = sorted(r[0] for r in changed)
+        new = marked.where(F.col("snapshot_date").isin(dates)).withColumns(
+            {spec.label: F.when(late, F.lit(1)).otherwise(F.col(spec.label)), "_labeled_at": F.when(late, stamp).otherwise(F.col("_labeled_at"))}
+        )
+        store.replace_partitions(LABELS, new.select(old.columns), "snapshot_date", dates, marks)
+    return dates
+
+
 def build_labels(
     store: TableStore,
     events: DataFrame,

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,20 +66,24 @@ class Version:
         return Version(d["number"], name, T.StructType.fromJson(d["schema"]), tuple(d["partition_by"]), parts, frozenset(d["whole"]), d["marks"])
 
     def with_write(self, write: str, parts: Iterable[str], schema: T.StructType) -> Version:
-        return replace(self, parts=self.parts | {write: tuple(parts)}, whole=self.whole | {write}, schema=_united(self.schema, schema))
+        grown = replace(self, schema=_united(self.schema, schema))
+        if not (parts := tuple(parts)):
+            return grown
+        return replace(grown, parts=self.parts | {write: parts}, whole=self.whole | {write})
 
     def without(self, folders: Iterable[str]) -> Version:
         """The version without the partitions of which a folder ("month=3") is given."""
         gone = set(folders)
-        kept = {w: tuple(p for p in ps if not gone.intersection(p.split("/"))) for w, ps in self.parts.items()}
-        whole = frozenset(w for w in self.whole if kept[w] == self.parts[w])
-        return replace(self, parts={w: p for w, p in kept.items() if p}, whole=whole)
+        return self._keeping(lambda path: not gone.intersection(path.split("/")))
 
     def only(self, paths: Iterable[str]) -> Version:
         """The version reduced to the given partition paths."""
-        wanted = set(paths)
-        kept = {w: tuple(p for p in ps if p in wanted) for w, ps in self.parts.items()}
-        return replace(self, parts={w: p for w, p in kept.items() if p}, whole=frozenset(w for w in self.whole if kept[w] == self.parts[w]))
+        return self._keeping(set(paths).__contains__)
+
+    def _keeping(self, keep: Callable[[str], bool]) -> Version:
+        kept = {w: tuple(filter(keep, ps)) for w, ps in self.parts.items()}
+        kept = {w: ps for w, ps in kept.items() if ps}
+        return replace(self, parts=kept, whole=frozenset(w for w in self.whole & kept.keys() if kept[w] == self.parts[w]))
 
 
 @dataclass(frozen=True)
@@ -183,16 +187,20 @@ class TableStore:
         stray = F.raise_error(F.lit(f"row outside partition {column}={value}")).cast("boolean")
         return self.replace_partitions(name, df.where(F.when(inside, F.lit(True)).otherwise(stray)), column, [value])
 
-    def replace_partitions(self, name: str, df: DataFrame, column: str, values: Iterable = ()) -> WriteResult:
+    def replace_partitions(
+        self, name: str, df: DataFrame, column: str, values: Iterable = (), marks: dict[str, int] | None = None
+    ) -> WriteResult:
         """Replace every partition that ``df`` has rows for, and those of ``values`` even if it has none.
 
-        The other partitions stay as they are. ``df`` may read the same table.
+        The other partitions stay as they are. ``df`` may read the same table. ``marks`` (batch numbers
+        by source, up to which the table now covers) are stored in the same step.
         """
         before = self._partitioned(name, column) if self.version(name) else None
         version = before or Version(0, "", T.StructType([]), (column,))
         write, parts = self._write(name, df, version.partition_by)
         gone = {f for p in parts for f in p.split("/") if f.startswith(f"{column}=")}
         kept = version.without(gone | {self._folder(column, v) for v in values})
+        kept = replace(kept, marks=kept.marks | (marks or {}))
         return WriteResult("replaced", self._commit(name, before, kept.with_write(write, parts, df.schema), write))
 
     def upsert(

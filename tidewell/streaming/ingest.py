@@ -1,12 +1,14 @@
-"""Incremental ingestion of JSON-lines event files into the bronze table.
+"""Incremental ingestion of JSON-lines event files into the bronze table, with rejects and a log of arrivals.
 
-Two streams read the landing folder: one appends valid, deduplicated events to
-bronze, the other appends lines that lack a usable key to the rejects table. Each
-has its own checkpoint, so a second run only handles new files.
+One stream reads the landing folder. Each micro-batch is parsed once and written with its number to three
+tables: the arrivals log, the rejects, and last bronze, which is partitioned by event day. A table
+skips a batch that it already has, so a batch repeated after a failure adds nothing. Repeated events are
+found by an anti-join with the days that a batch touches; nothing is kept in streaming state.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -16,21 +18,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewell.functions import clean
-from tidewell.operators.quality import ISO_PATTERN
+from tidewell.operators.mutation import deduplicate
+from tidewell.operators.quality import EVENT_RULES, ISO_PATTERN, QualityCheck, Rule
+from tidewell.session import read_text, staged
 from tidewell.sources.contract import EVENT_CONTRACT, Contract, parse_with_rescue
+from tidewell.sources.tables import TableStore
+
+BRONZE, REJECTS, ARRIVALS = "events_bronze", "events_rejected", "event_arrivals"
+DAY = "event_day"
 
 
 @dataclass(frozen=True)
 class IngestSettings:
     """How to read and deduplicate.
 
-    ``watermark`` None keeps every key in state, which is exact over all runs. With a
-    delay such as "2 days" the state stays bounded, but rows that arrive later than
-    that are dropped by Spark; set it only where the producer guarantees the delay.
+    An event is known by its key and its day: a copy of it carries the same time. ``rules`` say which
+    events count for features and labels, and so for the arrivals log. ``watermark`` concerns
+    ``deduplicated`` alone, which keeps keys in state: None keeps all of them; with a delay such as
+    "2 days" the state stays bounded, but Spark drops rows that arrive later than that.
     """
 
     contract: Contract = EVENT_CONTRACT
     key: str = "event_id"
+    entity: str = "customer_id"
+    kind: str = "event_type"
+    rules: Sequence[Rule] = EVENT_RULES
     time_text: str = "event_timestamp"
     time_pattern: str = ISO_PATTERN
     source_type: str = "event_generator"
@@ -69,6 +81,7 @@ def usable(settings: IngestSettings) -> Column:
 
 
 def deduplicated(events: DataFrame, settings: IngestSettings) -> DataFrame:
+    """One row per key of a stream that feeds a sink without batch numbers; keys are kept in state."""
     keyed = events.where(usable(settings))
     if settings.watermark:
         return keyed.withWatermark("event_ts", settings.watermark).dropDuplicatesWithinWatermark([settings.key])
@@ -90,27 +103,47 @@ def append_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def ingest_events(
-    spark: SparkSession,
-    landing: str,
-    bronze: str,
-    rejects: str,
-    checkpoint: str,
-    settings: IngestSettings = IngestSettings(),
-) -> Sequence[StreamingQuery]:
-    """Run both streams to the end of the files present now.
+def land_batch(store: TableStore, batch: DataFrame, source: str, number: int, settings: IngestSettings = IngestSettings()) -> None:
+    """Write one numbered batch of parsed events; a number that bronze already has is skipped.
 
-    Only this job may write to the two folders: readers follow the file log that the
-    streaming sink keeps there.
+    Bronze comes last: while a batch is not in it, a repetition finds the same new events and
+    completes the other tables.
     """
-    events = read_event_stream(spark, landing, settings)
-    queries = [
-        append_stream(deduplicated(events, settings), bronze, f"{checkpoint}/bronze"),
-        append_stream(rejected(events, settings), rejects, f"{checkpoint}/rejects"),
-    ]
-    for q in queries:
-        q.awaitTermination()
-    return queries
+    bronze = store.version(BRONZE)
+    if bronze and bronze.marks.get(source, -1) >= number:
+        return
+    once = (source, number)
+    with staged(batch, "ingest-batch") as rows:
+        dated = rows.where(usable(settings)).withColumn(DAY, F.to_date("event_ts"))
+        # The survivor of copies in a batch does not depend on the layout.
+        order = ["_source_file", F.xxhash64(*[c for c in dated.columns if c != "ingestion_timestamp"])]
+        fresh = deduplicate(dated, [settings.key, DAY], order)
+        if bronze:
+            days = [r[0] for r in dated.select(DAY).distinct().collect()]  # one per partition touched
+            known = store.read_partitions(BRONZE, DAY, days).select(F.col(settings.key).alias("_key"), F.col(DAY).alias("_day"))
+            same = (F.col(settings.key) == F.col("_key")) & F.col(DAY).eqNullSafe(F.col("_day"))
+            fresh = fresh.join(known, same, "left_anti")
+        with staged(fresh, "ingest-new") as new:
+            arrived = QualityCheck(new, settings.rules).clean().groupBy(settings.entity, DAY, settings.kind)
+            log = arrived.agg(F.count("*").alias("events"), F.max("ingestion_timestamp").alias("arrived_at"))
+            log = log.withColumns({"source": F.lit(source), "batch": F.lit(number).cast("long")})
+            store.append(ARRIVALS, log, ["source", "batch"], batch=once)
+            store.append(REJECTS, rejected(rows, settings), batch=once)
+            store.append(BRONZE, new, [DAY], batch=once)
+
+
+def ingest_events(store: TableStore, landing: str, checkpoint: str, settings: IngestSettings = IngestSettings()) -> StreamingQuery:
+    """Drain the files present now into bronze, rejects and the arrivals log, then stop."""
+
+    def land(batch: DataFrame, number: int) -> None:
+        # The stream's id stays with its checkpoint; a new checkpoint is a new source of batches.
+        source = json.loads(read_text(store.spark, f"{checkpoint}/metadata"))["id"]
+        land_batch(store, batch, source, number, settings)
+
+    writer = read_event_stream(store.spark, landing, settings).writeStream.foreachBatch(land)
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
 
 
 def ingest_summary(bronze: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ MODULES = (
     "reports_queries",
     "scoring_governance",
     "streams_models",
+    "late_events",
 )
 
 
