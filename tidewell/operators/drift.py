@@ -8,6 +8,7 @@ the means all come from that one table, for all features together.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +26,7 @@ PREDICTION_FEATURE = "_prediction_churn_probability"
 
 
 def split_features(
-    baseline: DataFrame, current: DataFrame, excluded: Sequence[str] = NOT_FEATURES
+    baseline: DataFrame | CountedSample, current: DataFrame, excluded: Sequence[str] = NOT_FEATURES
 ) -> tuple[list[str], list[str]]:
     """Shared feature columns as (numeric, categorical), by type."""
     shared = [f for f in baseline.schema if f.name not in excluded and f.name in current.columns]
@@ -34,8 +35,8 @@ def split_features(
     return numeric, categorical
 
 
-def unpivot(df: DataFrame, columns: Sequence[str], type_name: str) -> DataFrame:
-    """Long form (feature, value) of the given columns, nulls and NaN left out.
+def unpivot(df: DataFrame, columns: Sequence[str], type_name: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Long form (``keep``, feature, value) of the given columns, nulls and NaN left out.
 
     Narrow: one scan, no shuffle.
     """
@@ -45,18 +46,60 @@ def unpivot(df: DataFrame, columns: Sequence[str], type_name: str) -> DataFrame:
             for c in columns
         ]
     )
-    long = df.select(F.inline(pairs)).where(F.col("value").isNotNull())
+    long = df.select(*keep, F.inline(pairs)).where(F.col("value").isNotNull())
     return long.where(~F.isnan("value")) if type_name == "double" else long
 
 
-def value_counts(baseline: DataFrame, current: DataFrame, columns: Sequence[str], type_name: str) -> DataFrame:
+def value_counts(baseline: DataFrame | CountedSample, current: DataFrame, columns: Sequence[str], type_name: str) -> DataFrame:
     """(feature, value, n_base, n_cur) over both samples, from one tagged union."""
-    sides = unpivot(baseline, columns, type_name).select("*", F.lit(1).alias("b"), F.lit(0).alias("c")).unionAll(
-        unpivot(current, columns, type_name).select("*", F.lit(0).alias("b"), F.lit(1).alias("c"))
+    none = F.lit(0).cast("long")
+    sides = _counted(baseline, columns, type_name).select("feature", "value", F.col("n").alias("b"), none.alias("c")).unionAll(
+        _counted(current, columns, type_name).select("feature", "value", none.alias("b"), F.col("n").alias("c"))
     )
     return sides.groupBy("feature", "value").agg(F.sum("b").alias("n_base"), F.sum("c").alias("n_cur"))
 
 
+def feature_counts(df: DataFrame, excluded: Sequence[str] = NOT_FEATURES, per: Sequence[str] = ()) -> DataFrame:
+    """(``per``, feature, number, text, n): how often each value of each feature column occurs.
+
+    Numbers and texts have a column each. Counts of several parts of a sample merge by summing ``n``.
+    """
+    numeric, categorical = split_features(df, df, (*excluded, *per))
+    none = {"number": F.lit(None).cast("double"), "text": F.lit(None).cast("string")}
+    sides = [
+        unpivot(df, columns, kind, per).select(*per, "feature", *[F.col("value").alias(c) if c == name else none[c].alias(c) for c in none])
+        for columns, kind, name in ((numeric, "double", "number"), (categorical, "string", "text"))
+        if columns
+    ]
+    if not sides:
+        raise ValueError("there is no feature column")
+    long = sides[0] if len(sides) == 1 else sides[0].unionAll(sides[1])
+    return long.groupBy(*per, "feature", "number", "text").agg(F.count("*").alias("n"))
+
+
+@dataclass(frozen=True)
+class CountedSample:
+    """A sample given by its stored value counts, to stand for the baseline in a drift report."""
+
+    counts: DataFrame
+    schema: T.StructType
+
+    @property
+    def columns(self) -> list[str]:
+        return self.schema.names
+
+    def long(self, columns: Sequence[str], type_name: str) -> DataFrame:
+        value = "number" if type_name == "double" else "text"
+        picked = self.counts.where(F.col("feature").isin(list(columns)) & F.col(value).isNotNull())
+        return picked.select("feature", F.col(value).alias("value"), "n")
+
+
+def _counted(sample: DataFrame | CountedSample, columns: Sequence[str], type_name: str) -> DataFrame:
+    if isinstance(sample, CountedSample):
+        return sample.long(columns, type_name)
+    return unpivot(sample, columns, type_name).select("feature", "value", F.lit(1).cast("long").alias("n"))
+
+
 def psi_term(base_share: Column, cur_share: Column) -> Column:
     b, c = base_share + F.lit(EPSILON), cur_share + F.lit(EPSILON)
     return (c - b) * F.log(c / b)
@@ -75,7 +118,7 @@ def _base_edges(totals: DataFrame, buckets: int) -> DataFrame:
 
 
 def numeric_drift(
-    baseline: DataFrame, current: DataFrame, columns: Sequence[str], buckets: int = BUCKETS
+    baseline: DataFrame | CountedSample, current: DataFrame, columns: Sequence[str], buckets: int = BUCKETS
 ) -> DataFrame:
     """PSI, KS, means and counts for each numeric column.
 
@@ -135,7 +178,7 @@ def numeric_drift(
     return _for_each(columns, measured, "numeric", 0.0)
 
 
-def categorical_drift(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+def categorical_drift(baseline: DataFrame | CountedSample, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """PSI over the union of categories, and counts, for each text column."""
     counts = value_counts(baseline, current, columns, "string")
     totals = counts.groupBy("feature").agg(
@@ -203,13 +246,16 @@ def _finish(measured: DataFrame, snapshot_date: Column, at: datetime | None) ->
 
 
 def drift_report(
-    baseline: DataFrame,
+    baseline: DataFrame | CountedSample,
     current: DataFrame,
     snapshot_date: Column,
     excluded: Sequence[str] = NOT_FEATURES,
     at: datetime | None = None,
 ) -> DataFrame:
-    """One row per shared feature: PSI, KS, means, counts and alert level."""
+    """One row per shared feature: PSI, KS, means, counts and alert level.
+
+    ``baseline`` may be a ``CountedSample``: then no baseline row is read.
+    """
     numeric, categorical = split_features(baseline, current, excluded)
     parts = []
     if numeric:

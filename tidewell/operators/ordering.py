@@ -38,8 +38,8 @@ def running_totals(
         "slices",
     )
 
-    # One row per slice and group: at most (slices + groups) rows, so the windows
-    # below and the broadcast are bounded by the layout, not by the data.
+    # One row per slice and group. There may be as many groups as rows, so the offsets are dealt
+    # like the slices and joined in place, not broadcast; a group has at most one row per slice.
     per_slice = sliced.groupBy(*groups, SLICE).agg(*[F.sum(m).alias(f"_s_{m}") for m in measures])
     by_group = Window.partitionBy(*groups)
     earlier = by_group.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
@@ -56,7 +56,8 @@ def running_totals(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = sliced.select("*", *[F.sum(m).over(inside).alias(f"_l_{m}") for m in measures])
-    joined = local.join(F.broadcast(offsets), [*groups, SLICE])
+    # The window has dealt and sorted the rows by group and slice: a merge moves only the offsets.
+    joined = local.join(offsets.hint("merge"), [*groups, SLICE])
     return joined.select(
         *counts.columns,
         *[(F.col(f"_l_{m}") + F.col(f"_o_{m}")).alias(f"cum_{m}") for m in measures],
@@ -64,6 +65,26 @@ def running_totals(
     )
 
 
+def global_rank(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
+    """Add the place of each row in a total order, from 1; no task sees more than a slice.
+
+    Rows are cut into ranges, ranked inside them, and moved on by the number of rows in the ranges
+    before. Rows that ``order`` holds for equal follow each other by a hash of their values, so that many
+    ties do not fall into one range; copies of a row take neighbouring places.
+    """
+    ties = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in df.columns])
+    keyed = df.withColumn("_tie", ties)
+    full = [*order, F.col("_tie").asc()]
+    sliced = stage(keyed.repartitionByRange(*full).withColumn(SLICE, F.spark_partition_id()), "ranked")
+    # One row per range, so their number is that of the partitions.
+    sizes = sliced.groupBy(SLICE).agg(F.count("*").alias("_n"))
+    before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(SLICE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(SLICE).orderBy(*full))
+    ranked = sliced.withColumn("_place", inside).join(offsets, SLICE)
+    return ranked.select(*[f"`{c}`" for c in df.columns], (F.col("_place") + F.col("_before")).alias(name))
+
+
 def quantile_columns(
     value: str, weight: str, points: Sequence[float], prefix: str = "q"
 ) -> list[Column]:

@@ -6,6 +6,7 @@ and log the run. They are meant to be called by whatever scheduler is in place.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
@@ -30,6 +31,9 @@ SUMMARY = "churn_summary"
 FEATURES = "gold_feature_snapshot"
 LABELS = "gold_labels"
 HISTORY = "prediction_history"
+RUNS = "prediction_runs"
+CURRENT = "customer_current"
+BASELINE = "training_value_counts"
 DRIFT = "drift_metrics"
 CANDIDATES = "model_candidate_metrics"
 CHAMPION = "model_validation_metrics"
@@ -81,7 +85,8 @@ def build_customer_snapshot(store: TableStore, snapshot_date: date, run_id: str
                 raise quality.RuleFailed("no row survived the quality rules")
             require_unique(clean, ["customer_id"])
             result = store.upsert(CUSTOMERS, clean, SNAPSHOT_KEY, "snapshot_date")
-        store.overwrite(SUMMARY, conform.segment_summary(store.read(CUSTOMERS)))
+            merge_current(store, clean)
+        store.overwrite(SUMMARY, conform.segment_summary(store.read(CURRENT), snapshot_date=None))
         run.output = {
             "status": result.status,
             "snapshot_date": snapshot_date,
@@ -97,7 +102,7 @@ def build_feature_snapshot(
 ) -> WriteResult:
     """Features of one as-of date into their partition; skipped when there is no event yet."""
     with track_run(store, "build_features", f"build-features-{as_of.isoformat()}") as run:
-        customers = store.read(CUSTOMERS) if store.exists(CUSTOMERS) else None
+        customers = customers_known_by(store, as_of) if store.exists(CUSTOMERS) else None
         if events.where(bands.up_to(events, "event_ts", as_of)).isEmpty():
             run.status, run.output = "skipped", {"reason": "no events on or before as_of_date"}
             return WriteResult("skipped", 0)
@@ -382,9 +387,100 @@ def contiguous(dates: Sequence[date]) -> list[tuple[date, date]]:
     return spans
 
 
+#: Buckets of a new table of current states; a table keeps the number it was made with.
+BUCKETS = 64
+
+
+def merge_current(
+    store: TableStore, rows: DataFrame, key: str = "customer_id", newest: str = "snapshot_date", name: str = CURRENT, buckets: int = BUCKETS
+) -> WriteResult:
+    """Bring a table of one row per key up to date; only the buckets that hold a key of ``rows`` are read and rewritten.
+
+    The row with the highest ``newest`` stays, so batches may come in any order, and again. ``rows`` has
+    one row per key.
+    """
+    version = store.version(name)
+    buckets = version.marks["buckets"] if version else buckets
+    with staged(rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")), "current") as fresh:
+        touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]
+        both = fresh.withColumn("_fresh", F.lit(1))
+        if version:
+            both = both.unionByName(store.read_partitions(name, "bucket", touched).withColumn("_fresh", F.lit(0)), allowMissingColumns=True)
+        one = latest_per_key(both, [key], [newest, "_fresh"]).drop("_fresh")
+        return store.replace_partitions(name, one, "bucket", touched, {"buckets": buckets})
+
+
 def current_customers(store: TableStore) -> DataFrame:
-    """The newest snapshot of each customer."""
-    return latest_per_key(store.read(CUSTOMERS), ["customer_id"], ["snapshot_date"])
+    """The newest snapshot of each customer; no history is read."""
+    return store.read(CURRENT).drop("bucket")
+
+
+def customers_known_by(store: TableStore, as_of: date) -> DataFrame:
+    """Snapshots that tell each customer's attributes as of a date: the current states where none is newer."""
+    dates = stored_dates(store, CUSTOMERS)
+    if store.exists(CURRENT) and (not dates or dates[-1] <= as_of):
+        return current_customers(store)
+    return store.read_partitions(CUSTOMERS, "snapshot_date", [d for d in dates if d <= as_of])
+
+
+def current_predictions(store: TableStore) -> DataFrame:
+    """Predictions of the latest run: found in the index of runs, read from its own partition."""
+    run = scoring.latest_run(store.read(RUNS)).first()
+    if run is None:
+        return store.read(HISTORY).limit(0)
+    rows = store.read_partitions(HISTORY, "scoring_run_id", [run.scoring_run_id])
+    return rows.where(F.col("scoring_run_id") == run.scoring_run_id)
+
+
+def store_predictions(store: TableStore, scores: DataFrame) -> WriteResult:
+    """Add predictions to the history, partitioned by run, and the runs to their index; repeated ones add nothing."""
+    result = store.insert_new(HISTORY, scores, scoring.HISTORY_KEY, ["scoring_run_id"])
+    runs = scores.groupBy("scoring_run_id").agg(F.max("scored_at").alias("scored_at"), F.count("*").alias("predictions"))
+    store.insert_new(RUNS, runs, ["scoring_run_id"])
+    return result
+
+
+def refresh_baseline(store: TableStore) -> Sequence[date]:
+    """Bring the value counts of the training set up to date, one partition per snapshot date; the dates counted anew.
+
+    A date is counted again when its features or labels were written since, told by a mark of their
+    write folders that its partition carries. Nothing else of the training set is read.
+    """
+    sides = [store.version(FEATURES), store.version(LABELS)]
+    made = {d: _mark_of(sides, d) for d in set(stored_dates(store, FEATURES)) & set(stored_dates(store, LABELS))}
+    version = store.version(BASELINE)
+    have = dict(_dated_mark(p) for ps in version.parts.values() for p in ps) if version else {}
+    due = sorted(d for d, mark in made.items() if have.get(d) != mark)
+    gone = sorted(have.keys() - made.keys())
+    if not due and not gone:
+        return []
+    training = labels.training_set(
+        store.read_partitions(FEATURES, "snapshot_date", due), store.read_partitions(LABELS, "snapshot_date", due)
+    )
+    # One row per date, so the joined side is bounded by the number of dates.
+    marks = store.spark.createDataFrame([(d, made[d]) for d in due], "snapshot_date date, made_of string")
+    counts = drift.feature_counts(training, per=["snapshot_date"]).join(F.broadcast(marks), "snapshot_date")
+    store.create_if_absent(BASELINE, counts, ["snapshot_date", "made_of"])
+    store.replace_partitions(BASELINE, counts, "snapshot_date", [*due, *gone])
+    return due
+
+
+def _mark_of(versions: Sequence, day: date) -> str:
+    """Tells the writes that a date's partitions come from."""
+    folder = f"snapshot_date={day.isoformat()}"
+    writes = [sorted(w for w, ps in v.parts.items() if any(folder in p.split("/") for p in ps)) for v in versions]
+    return hashlib.sha256(repr(writes).encode()).hexdigest()[:16]
+
+
+def _dated_mark(path: str) -> tuple[date, str]:
+    day, mark = (part.split("=", 1)[1] for part in path.split("/"))
+    return date.fromisoformat(day), f"{mark}"
+
+
+def counted_baseline(store: TableStore) -> drift.CountedSample:
+    """The training set as value counts; only new dates are counted."""
+    refresh_baseline(store)
+    return drift.CountedSample(store.read(BASELINE).drop("snapshot_date", "made_of"), training_set(store).schema)
 
 
 def champion_for_scoring(store: TableStore, model_name: str):
@@ -427,8 +523,8 @@ def score_batch(
             metrics.run_id,
             scored_at or datetime.now(timezone.utc),
         )
-        result = store.insert_new(HISTORY, scores, scoring.HISTORY_KEY)
-        store.view("current_customer_churn_scores", scoring.current_scores(store.read(HISTORY)))
+        result = store_predictions(store, scores)
+        store.view("current_customer_churn_scores", current_predictions(store))
         run.output = {"model_version": metrics.model_version, "customers_scored": result.rows}
     return result
 
@@ -468,17 +564,16 @@ def promote(
 def monitor_drift(store: TableStore, at: datetime | None = None) -> WriteResult:
     """Drift of the newest feature snapshot against the training set, plus prediction drift."""
     with track_run(store, "drift_monitor") as run:
-        baseline = training_set(store)
-        newest = drift.latest_date(store.read(FEATURES)).first()[0]
-        if newest is None or baseline.isEmpty():
+        dates = stored_dates(store, FEATURES)
+        newest = dates[-1] if dates else None
+        if newest is None or training_set(store).isEmpty():
             run.status, run.output = "skipped", {"reason": "no baseline or no snapshot"}
             return WriteResult("skipped", 0)
-        current = store.read(FEATURES).where(F.col("snapshot_date") == F.lit(newest))
+        current = store.read_partitions(FEATURES, "snapshot_date", [newest])
         on = F.lit(newest)
-        rows = drift.drift_report(baseline, current, on, at=at)
+        rows = drift.drift_report(counted_baseline(store), current, on, at=at)
         if store.exists(HISTORY):
-            scores = scoring.current_scores(store.read(HISTORY))
-            rows = rows.unionByName(drift.prediction_drift(baseline, scores, on, at=at))
+            rows = rows.unionByName(drift.prediction_drift(store.read(LABELS), current_predictions(store), on, at=at))
         result = store.replace_partition(DRIFT, rows, "snapshot_date", newest)
         run.output = {"snapshot_date": newest, "features_monitored": result.rows}
     return result

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import bands
 from tidewell.operators.mutation import latest_per_key
-from tidewell.operators.ordering import exact_quantiles
+from tidewell.operators.ordering import exact_quantiles, global_rank
 
 
 def share(condition: Column) -> Column:
@@ -215,7 +215,9 @@ def drift_kpis(metrics: DataFrame) -> DataFrame:
 
 
 def psi_ranking(metrics: DataFrame) -> DataFrame:
-    return metrics.orderBy(F.desc("psi"), "feature_name")
+    """All metrics with their ``rank``: highest PSI first, then by feature and date."""
+    order = [F.col("psi").desc_nulls_last(), F.col("feature_name").asc(), F.col("snapshot_date").asc()]
+    return global_rank(metrics, order, "rank")
 
 
 def psi_trend(metrics: DataFrame, top: int = 5) -> DataFrame:

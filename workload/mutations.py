@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tidewell.operators import mutation
+from tidewell.operators.ordering import global_rank
 from tidewell.session import scratch_path
 from tidewell.sources.tables import TableStore
 from workload.tables import load
@@ -146,8 +147,10 @@ def write_once_check(spark, sf):
 
 
 def ordered_events(spark, sf):
-    """Total order on (time, user, type), with the position left to the reader."""
-    return load(spark, sf, "events").orderBy("ts", "user_id", "event_type").select("event_id", "user_id", "event_type")
+    """All events with their position in the total order on (type, time, user, id)."""
+    events = load(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    order = [F.col(c).asc() for c in ("event_type", "ts", "user_id", "event_id")]
+    return global_rank(events, order).select("position", "event_id", "user_id", "event_type")
 
 
 QUERIES = {
@@ -205,5 +208,5 @@ SELECT month, orders_before, total_before, orders, total FROM a LEFT JOIN b USIN
         "o_totalprice FROM orders WHERE o_orderstatus = 'P') SELECT *, CAST(1 AS BIGINT) AS surplus FROM o UNION ALL "
         "SELECT * REPLACE (o_totalprice + 1 AS o_totalprice), CAST(-1 AS BIGINT) FROM o",
     ),
-    "ordered_events": (ordered_events, "SELECT event_id, user_id, event_type FROM events"),
+    "ordered_events": (ordered_events, "SELECT row_number() OVER (ORDER BY event_type, ts, user_id, event_id) AS position, event_id, user_id, event_type FROM events"),
 }

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import bands
 from tidewell.operators import conform
-from tidewell.plans import reports
+from tidewell.operators.mutation import latest_per_key
+from tidewell.plans import daily, reports
+from tidewell.session import scratch_path, stage
+from tidewell.sources.tables import TableStore
 from workload import snapshots
 from workload.tables import CUSTOMER_SNAPSHOTS, contract_events, customer_snapshots, load, rounded
 from workload.snapshots import MATURE_LABELS
@@ -17,6 +20,18 @@ def segment_summary(spark, sf):
     return rounded(s, 6, "avg_monthly_charge", "avg_tenure")
 
 
+def current_state_summary(spark, sf):
+    """The same summary from a stored table of current states, which five batches of snapshots went into, the newest first."""
+    store = TableStore(spark, scratch_path(spark, "current"))
+    snap = stage(customer_snapshots(spark, sf), "snapshots")
+    part = F.pmod(F.year("snapshot_date"), F.lit(5))
+    for n in (4, 3, 2, 1, 0):
+        batch = latest_per_key(snap.where(part == n), ["customer_id"], ["snapshot_date"])
+        daily.merge_current(store, batch, buckets=4)
+    s = conform.segment_summary(store.read(daily.CURRENT), snapshot_date=None)
+    return rounded(s, 6, "avg_monthly_charge", "avg_tenure")
+
+
 SEGMENT_SQL = f"""
 WITH {CUSTOMER_SNAPSHOTS},
 latest AS (SELECT * FROM snap QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY snapshot_date DESC) = 1)
@@ -121,7 +136,7 @@ def drift_kpis(spark, sf):
 
 
 def psi_ranking(spark, sf):
-    return reports.psi_ranking(drift_history(spark, sf)).select("snapshot_date", "feature_name", "psi", "alert_level")
+    return reports.psi_ranking(drift_history(spark, sf)).select("rank", "snapshot_date", "feature_name", "psi", "alert_level")
 
 
 def psi_trend(spark, sf):
@@ -194,6 +209,7 @@ def violations_by_rule(spark, sf):
 
 QUERIES = {
     "segment_summary": (segment_summary, SEGMENT_SQL),
+    "current_state_summary": (current_state_summary, SEGMENT_SQL),
     "customer_kpis": (customer_kpis, CUSTOMER_KPIS_SQL),
     "charge_histogram": (
         charge_histogram,
@@ -251,7 +267,11 @@ QUERIES = {
         "(WHERE alert_level = 'significant') AS significant_drift, count(*) FILTER (WHERE alert_level = 'moderate') AS moderate_drift, "
         "max(snapshot_date) AS latest_snapshot FROM dm",
     ),
-    "psi_ranking": (psi_ranking, f"WITH {DRIFT_HISTORY} SELECT snapshot_date, feature_name, psi, alert_level FROM dm"),
+    "psi_ranking": (
+        psi_ranking,
+        f"WITH {DRIFT_HISTORY} SELECT row_number() OVER (ORDER BY psi DESC NULLS LAST, feature_name, snapshot_date) AS rank, "
+        "snapshot_date, feature_name, psi, alert_level FROM dm",
+    ),
     "psi_trend": (
         psi_trend,
         f"WITH {DRIFT_HISTORY} SELECT snapshot_date, feature_name, psi FROM dm WHERE feature_name IN "

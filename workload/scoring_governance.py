@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import bands
 from tidewell.operators import governance, mutation, scoring, training
-from tidewell.plans import reports
+from tidewell.plans import daily, reports
+from tidewell.session import scratch_path, stage
+from tidewell.sources.tables import TableStore
 from workload.tables import (
     COEFFICIENTS,
     CUSTOMER_SNAPSHOTS,
@@ -124,6 +126,16 @@ def current_scores(spark, sf):
     return rounded(rounded(current, 9, "churn_probability"), 6, "annual_revenue_at_risk")
 
 
+def current_scores_by_run(spark, sf):
+    """The history stored by run, one run after the other and one of them again; the latest read through the index."""
+    store = TableStore(spark, scratch_path(spark, "runs"))
+    scored = stage(_history(spark, sf), "scored")
+    daily.store_predictions(store, scored)
+    daily.store_predictions(store, scored.where(F.col("scoring_run_id") == "run-2020-01"))
+    current = daily.current_predictions(store).select("scoring_run_id", *HISTORY_COLUMNS)
+    return rounded(rounded(current, 9, "churn_probability"), 6, "annual_revenue_at_risk")
+
+
 CURRENT_SQL = f"""
 WITH {CUSTOMER_SNAPSHOTS}, tagged AS (SELECT * REPLACE (customer_id || '@' || snapshot_date AS customer_id) FROM snap),
 {_score_sql("tagged", "'run-' || strftime(snapshot_date, '%Y-%m') AS scoring_run_id, snapshot_date AS scored_at,")}
@@ -353,6 +365,7 @@ QUERIES = {
         "(SELECT * FROM sc ORDER BY churn_probability DESC, customer_id LIMIT 20)",
     ),
     "current_scores": (current_scores, CURRENT_SQL),
+    "current_scores_by_run": (current_scores_by_run, CURRENT_SQL),
     "contribution_summary": (contribution_summary, CONTRIBUTION_SQL),
     "promotion_decisions": (
         promotion_decisions,
