@@ -231,3 +231,24 @@ def test_correlation_with_gaps(spark):
     keep = [i for i in range(200) if i % 9]
     assert got["x", "y"] == got["y", "x"] == pytest.approx(np.corrcoef(x[keep], y[keep])[0, 1], abs=1e-9)
     assert got["x", "flat"] is None and got["x", "x"] == 1.0
+
+
+def test_category_codes(spark):
+    rows = [("b",), ("b",), ("a",), ("a",), ("c",), (None,), ("é",)]
+    df = spark.createDataFrame(rows, "k string")
+    codes = training.category_codes(df, ["k"])
+    assert {r.value: r.code for r in codes.collect()} == {"a": 0, "b": 1, "c": 2, "é": 3}
+    got = training.encode_categories(df, codes, "k").collect()
+    assert sorted(map(str, got)) == sorted(f"Row(k={v!r}, k_code={c})" for v, c in [("b", 1)] * 2 + [("a", 0)] * 2 + [("c", 2), (None, None), ("é", 3)])
+    assert training.category_labels(df, ["k"]) == {"k": ["a", "b", "c", "é"]} and training.category_labels(df, []) == {}
+    with pytest.raises(training.TooManyCategories, match="column k has 4 values, more than the 3"):
+        training.category_labels(df, ["k"], limit=3)
+
+
+def test_unseen_categories_encode_as_zeros(spark):
+    from pyspark.ml import Pipeline
+
+    seen = spark.createDataFrame([("a", "x", 1.0), ("a", "x", 2.0), ("b", "x", 3.0)], "k_filled string, m_filled string, n_filled double")
+    fitted = Pipeline(stages=training.preprocessing_stages(["n"], {"k": ["a", "b"], "m": ["x"]})).fit(seen)
+    new = spark.createDataFrame([("z", "z", 2.0), ("b", "x", 3.0)], seen.schema)
+    assert [list(r.features) for r in fitted.transform(new).collect()] == [[0.0, 0.0, 0.0, 0.0], [0.0, 1.0, 1.0, 1.0]]

@@ -17,7 +17,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,19 +25,25 @@ from pyspark.sql import types as T
 
 from tidewell.operators import evaluation, split
 from tidewell.operators.drift import unpivot
-from tidewell.operators.ordering import exact_quantiles
+from tidewell.operators.ordering import exact_quantiles, global_rank
 from tidewell.session import scratch_path, stage
 
 NOT_FEATURES = ("customer_id", "churn", "churn_label", "churned", "snapshot_date", "_transformed_at",
                 "_built_at", "label_horizon_days", "maturity_date", "fold")
 WEIGHT = "_weight"
 PROBABILITY = "churn_probability"
+#: Values that a text column may have to be one-hot encoded.
+MAX_CATEGORIES = 1000
 
 
 class TrainingError(ValueError):
     """The training data cannot support a classifier."""
 
 
+class TooManyCategories(TrainingError):
+    """A text column has more values than one-hot encoding is meant for."""
+
+
 def feature_columns(df: DataFrame, excluded: Sequence[str] = NOT_FEATURES) -> tuple[list[str], list[str]]:
     """Columns to learn from as (numeric, categorical), by type."""
     wanted = [f for f in df.schema if f.name not in excluded]
@@ -89,18 +95,52 @@ def learn_imputation(train: DataFrame, numeric: Sequence[str], categorical: Sequ
     )
 
 
-def preprocessing_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
-    """One-hot for texts (an unseen value encodes as all zeros) and standardised numbers."""
+def category_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, value, n, code): values of each text column coded from 0 by falling count, then by value.
+
+    Coded by ranges over all columns together: a column may have any number of values. Nulls have no code.
+    """
+    counts = unpivot(df, columns, "string").groupBy("feature", "value").agg(F.count("*").alias("n"))
+    ranked = global_rank(counts, [F.col("feature").asc(), F.col("n").desc(), F.col("value").asc()])
+    # One row per column of the table.
+    first = ranked.groupBy("feature").agg(F.min("position").alias("_first"))
+    coded = ranked.join(F.broadcast(first), "feature")
+    return coded.select("feature", "value", "n", (F.col("position") - F.col("_first")).cast("int").alias("code"))
+
+
+def encode_categories(df: DataFrame, codes: DataFrame, column: str, name: str | None = None) -> DataFrame:
+    """Add ``<column>_code`` by a join with ``category_codes``; null for a value that has none."""
+    of = codes.where(F.col("feature") == column).select(F.col("value").alias(column), F.col("code").alias(name or f"{column}_code"))
+    return df.join(of, column, "left").select(*df.columns, name or f"{column}_code")
+
+
+def category_labels(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+    """The values of each text column in the order of their codes.
+
+    Raises ``TooManyCategories`` before any value is collected where a column has more than ``limit``.
+    """
+    if not columns:
+        return {}
+    codes = stage(category_codes(df, columns), "category-codes")
+    for r in codes.groupBy("feature").agg(F.count("*").alias("values")).orderBy("feature").collect():
+        if r["values"] > limit:
+            raise TooManyCategories(f"column {r.feature} has {r['values']} values, more than the {limit} allowed")
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for r in codes.orderBy("feature", "code").collect():  # at most ``limit`` rows per column
+        found[r.feature].append(r.value)
+    return found
+
+
+def preprocessing_stages(numeric: Sequence[str], labels: Mapping[str, Sequence[str]]) -> list:
+    """One-hot for texts by their ``labels`` (an unseen value encodes as all zeros) and standardised numbers."""
     stages: list = []
     parts: list[str] = []
-    if categorical:
-        indexed = [f"{c}_index" for c in categorical]
-        encoded = [f"{c}_onehot" for c in categorical]
-        stages.append(
-            StringIndexer(
-                inputCols=[f"{c}_filled" for c in categorical], outputCols=indexed, handleInvalid="keep"
-            )
-        )
+    if labels:
+        indexed = [f"{c}_index" for c in labels]
+        encoded = [f"{c}_onehot" for c in labels]
+        # A model per column: one model for several pads shorter lists with nulls.
+        for (c, values), index in zip(labels.items(), indexed):
+            stages.append(StringIndexerModel.from_labels(list(values), f"{c}_filled", index, handleInvalid="keep"))
         # The index of unseen values is the last one, which dropLast leaves out.
         stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True))
         parts += encoded
@@ -207,6 +247,7 @@ def train_and_compare(
     excluded: Sequence[str] = NOT_FEATURES,
     seed: int = split.SEED,
     trained_at: datetime | None = None,
+    max_categories: int = MAX_CATEGORIES,
 ) -> TrainingResult:
     """Fit every candidate, pick by (validation PR-AUC, F1), test only the winner.
 
@@ -232,7 +273,9 @@ def train_and_compare(
     test = folded.where(F.col("fold") == "test")
 
     stamp = trained_at or datetime.now(timezone.utc)
-    prepared = Pipeline(stages=preprocessing_stages(numeric, categorical)).fit(ready)
+    filled = ready.select(*[F.col(f"{c}_filled").alias(c) for c in categorical])
+    labels = category_labels(filled, categorical, max_categories)
+    prepared = Pipeline(stages=preprocessing_stages(numeric, labels)).fit(ready)
     ready_vectors = prepared.transform(ready).select("features", label, WEIGHT).cache()
     rows, models = [], {}
     try:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidewell.operators import training
@@ -10,7 +12,7 @@ from tidewell.session import scratch_path, stage
 from tidewell.sources import tables
 from tidewell.sources.contract import EVENT_CONTRACT, parse_with_rescue
 from tidewell.streaming import ingest
-from workload.tables import CONTRACT_EVENTS, CUSTOMER_SNAPSHOTS, contract_events, customer_snapshots, rounded
+from workload.tables import CONTRACT_EVENTS, CUSTOMER_SNAPSHOTS, contract_events, customer_snapshots, load, rounded
 
 
 def landing_rows(spark, sf):
@@ -112,6 +114,54 @@ ML_PREPROCESS_SQL = f"WITH {CUSTOMER_SNAPSHOTS} " + " UNION ALL ".join(
 )
 
 
+def ml_preprocess_vectors(spark, sf):
+    """What the vectors hold: the rows in each one-hot position, and mean and deviation behind each scaled number."""
+    data = _labelled(spark, sf).drop("row_id", "snapshot_date", "label", "customer_id")
+    numeric, categorical = split_features(data, data)
+    filled = training.learn_imputation(data, numeric, categorical).apply(data)
+    labels = training.category_labels(filled.select(*[F.col(f"{c}_filled").alias(c) for c in categorical]), categorical)
+    fitted = Pipeline(stages=training.preprocessing_stages(numeric, labels)).fit(filled)
+    positions = fitted.transform(filled).select(F.posexplode(vector_to_array("features")).alias("position", "x"))
+    sums = positions.groupBy("position").agg(F.sum("x").alias("total"), F.sum(F.col("x") * F.col("x")).alias("squares"))
+    scaler = next(s for s in fitted.stages if hasattr(s, "std"))
+    names = [(c, v, None, None) for c, vs in labels.items() for v in vs]
+    names += [(c, None, float(m), float(d)) for c, m, d in zip(numeric, scaler.mean, scaler.std)]
+    ddl = "position int, feature string, value string, mean double, deviation double"
+    named = spark.createDataFrame([(i, *n) for i, n in enumerate(names)], ddl)
+    clear = {c: F.round(F.col(c), 3) + F.lit(0.0) for c in ("total", "squares")}
+    return rounded(named.join(sums, "position").withColumns(clear), 6, "mean", "deviation")
+
+
+def category_codes(spark, sf):
+    """Part names, types and brands coded by falling count; every part has the code of its name."""
+    part = load(spark, sf, "part")
+    codes = stage(training.category_codes(part, ["p_name", "p_type", "p_brand"]), "codes")
+    return training.encode_categories(part.select("p_partkey", "p_name"), codes, "p_name").select("p_partkey", "p_name_code").join(
+        training.encode_categories(part.select("p_partkey", "p_type"), codes, "p_type").select("p_partkey", "p_type_code"), "p_partkey"
+    )
+
+
+def _filled_sql() -> str:
+    texts = [f"coalesce({c}, (SELECT {c} FROM snap GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}" for c in _TEXTS]
+    numbers = [f"coalesce({c}::DOUBLE, (SELECT quantile_cont({c}::DOUBLE, 0.5) FROM snap)) AS {c}" for c in _NUMBERS]
+    return f"SELECT {', '.join(texts + numbers)} FROM snap"
+
+
+def _vectors_sql() -> str:
+    onehot = " UNION ALL ".join(f"SELECT {i} AS f, '{c}' AS feature, {c} AS value, count(*) AS n FROM t GROUP BY {c}" for i, c in enumerate(_TEXTS))
+    scaled = " UNION ALL ".join(
+        f"SELECT {i} AS f, '{c}' AS feature, avg({c}) AS mean, stddev_samp({c}) AS deviation FROM t" for i, c in enumerate(_NUMBERS)
+    )
+    return f"""
+WITH {CUSTOMER_SNAPSHOTS}, t AS ({_filled_sql()}), o AS ({onehot}), s AS ({scaled}),
+k AS (SELECT *, row_number() OVER (ORDER BY f, n DESC, value) - 1 AS position FROM o)
+SELECT CAST(position AS INTEGER) AS position, feature, value, NULL::DOUBLE AS mean, NULL::DOUBLE AS deviation,
+       n::DOUBLE AS total, n::DOUBLE AS squares FROM k
+UNION ALL
+SELECT CAST((SELECT count(*) FROM o) + f AS INTEGER), feature, NULL, round(mean, 6), round(deviation, 6), 0.0,
+       CASE WHEN deviation > 0 THEN (SELECT count(*) - 1 FROM t)::DOUBLE ELSE 0.0 END FROM s"""
+
+
 #: The last comparison, by application and input; both queries use the same fit.
 _LAST: dict = {}
 
@@ -155,6 +205,13 @@ QUERIES = {
         f"WITH {CONTRACT_EVENTS} SELECT count(*) AS total_rows, count(*) FILTER (WHERE k = 7) AS rescued_rows FROM ev WHERE k <> 0",
     ),
     "ml_preprocess": (ml_preprocess, ML_PREPROCESS_SQL),
+    "ml_preprocess_vectors": (ml_preprocess_vectors, _vectors_sql()),
+    "category_codes": (
+        category_codes,
+        "WITH n AS (SELECT p_name, CAST(row_number() OVER (ORDER BY count(*) DESC, p_name) - 1 AS INTEGER) AS p_name_code FROM part GROUP BY p_name), "
+        "t AS (SELECT p_type, CAST(row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS INTEGER) AS p_type_code FROM part GROUP BY p_type) "
+        "SELECT p_partkey, p_name_code, p_type_code FROM part LEFT JOIN n USING (p_name) LEFT JOIN t USING (p_type)",
+    ),
     "ml_candidates": (ml_candidates, None),
     "ml_scores": (ml_scores, None),
 }
