@@ -124,3 +124,14 @@ def test_stored_baseline_counts_only_new_dates(spark, store):
 
     assert report(daily.counted_baseline(store)) == report(daily.training_set(store))
     assert daily.monitor_drift(store).rows > 0
+
+
+def test_a_staged_copy_leaves_the_setting_as_it_was(spark):
+    from tidewell import session
+
+    before = spark.conf.get(session.SHUFFLE_CLEANUP)
+    with session.staged(spark.range(100).repartition(4).groupBy("id").count(), "setting") as rows:
+        assert rows.count() == 100 and spark.conf.get(session.SHUFFLE_CLEANUP) == before
+    with pytest.raises(Exception, match="no"):
+        session.stage(spark.range(2).select(F.raise_error(F.lit("no")).cast("int").alias("x")), "setting")
+    assert spark.conf.get(session.SHUFFLE_CLEANUP) == before

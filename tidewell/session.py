@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_KEY = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app_name: str = "tidewell", master: str | None = None, **conf) -> SparkSession:
@@ -57,9 +58,21 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{scratch_root(spark)}/tidewell/{app}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def _dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Have Spark delete the shuffle files of a job as soon as it has ended, not when the driver collects garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def _write_copy(df: DataFrame, path: str, partition_by: Sequence[str]) -> DataFrame:
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.mode("errorifexists").parquet(path)
+    with _dropping_shuffles(df.sparkSession):
+        writer.mode("errorifexists").parquet(path)
     copy = df.sparkSession.read.schema(df.schema).parquet(path)
     return copy.select(*[f"`{c}`" for c in df.columns])
 
