@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +66,16 @@ def small_sample(df: DataFrame, digest: Column, rows: int) -> DataFrame:
     return df.where(place < int(share * (1 << 40))).orderBy(place).limit(rows)
 
 
+def shared_dictionary(samples: list[bytes], limit: int) -> bytes:
+    """A Zstandard dictionary of at most ``limit`` bytes; the samples themselves where they cannot train one."""
+    if not (whole := b"".join(samples)):
+        return b""
+    try:
+        return zstandard.train_dictionary(min(limit, max(256, len(whole) // 10)), samples).as_bytes()
+    except zstandard.ZstdError:  # too few, too small or too alike
+        return whole[-limit:]
+
+
 def space_pieces(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Texts cut at each space: the distinct pieces, the piece numbers of all texts, and each text's first place."""
     import pyarrow.compute as pc
@@ -88,7 +99,7 @@ def write_file(folder: str, name: str, attempt: str, blocks: Iterable[bytes]) ->
     fs, path = open_folder(folder)
     fs.create_dir(path, recursive=True)
     target, size = posixpath.join(path, f"{attempt}-{name}"), 0
-    with fs.open_output_stream(target) as out:
+    with fs.open_output_stream(target, compression=None) as out:  # the name does not say how to pack
         for block in blocks:
             out.write(block)
             size += len(block)

@@ -23,22 +23,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewell.llm.common import id_and_text, open_folder, per_slice, small_sample, space_pieces, write_file
+from tidewell.llm.common import id_and_text, open_folder, per_slice, shared_dictionary, small_sample, space_pieces, write_file
 from tidewell.session import stage
 
 MAGIC = b"TOKSTOR1"
 SHARD_BYTES = 32 << 20
-#: The dictionary is trained on at most so many short documents, those with the smallest hashes.
+#: The dictionary is trained on slices of so many characters of so many documents at most, those with the smallest hashes.
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 8_000, 64 << 10
+#: Bytes of shards that one task reads back.
+READ_BYTES = 64 << 20
 MANIFEST = "shard int, part int, path string, docs long, tokens long, bytes long"
 INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
-#: Byte-level alphabet: bytes without a visible character of their own have one from U+0100 on.
-VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-SHOWN = {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(VISIBLE)))}
-SPACE = SHOWN.pop(32)
-SHOWN.pop(10)
-#: Marks that end a word; none of them starts or joins a token of letters.
-TAILS = ",.;:!?"
+#: How the byte-level alphabet shows a space.
+SPACE = "\u0120"
 #: White space other than space and newline, in ASCII and beyond.
 RARE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 RARE_WIDE = RARE + "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
@@ -69,7 +66,8 @@ class Encoder:
         self.code = "H" if self.width == 2 else "I"
         self.end = np.array([end_id], self.dtype).tobytes()
         self.memory, self.known, self.former = memory, {}, {}
-        self.tails = dict(zip(TAILS, self._ids(list(TAILS))))
+        self.spaced = np.zeros(1 << 8 * self.width if self.width == 2 else self.tokenizer.get_vocab_size(), bool)
+        self.spaced[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(SPACE)]] = True
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found: list[bytes] = []
@@ -79,19 +77,18 @@ class Encoder:
         return found
 
     def _learn(self, new: list[str]) -> None:
-        """Ids of new pieces; a word and the mark behind it are two tokens' ranges, so the word serves both."""
-        marked = [t for t in new if t[-1:] in TAILS and t[:-1].isalpha()] if self.cut else []
-        words = {t[:-1] for t in marked} - self.known.keys()
-        lone = words.union(new).difference(marked)
-        # A word of Latin letters is one pre-token, so the model can be asked without the steps before it.
-        latin = [t for t in lone if t.isalpha() and (t.isascii() or max(t) < "\u0250")] if self.cut else []
-        ask, code = self.tokenizer.model.tokenize, self.code
-        for t, shown in zip(latin, "\n".join(latin).encode().decode("latin-1").translate(SHOWN).split("\n")):
-            self.known[t] = array(code, [x.id for x in ask(SPACE + shown)]).tobytes()
-        rest = list(lone.difference(latin))
-        self.known.update(zip(rest, self._ids([" " + t for t in rest])))
-        for t in marked:
-            self.known[t] = self.known[t[:-1]] + self.tails[t[-1]]
+        """Ids of new pieces, many to a call: joined by spaces, each starts at a token that has its space."""
+        alone = new if not self.cut else [t for t in new if " " in t]
+        self.known.update(zip(alone, self._ids([" " + t for t in alone])))
+        joined = [] if not self.cut else [t for t in new if " " not in t]
+        for i in range(0, len(joined), 1 << 16):
+            part = joined[i : i + (1 << 16)]
+            raw = b"".join(self._ids([" " + " ".join(part[k : k + 512]) for k in range(0, len(part), 512)]))
+            first = (np.flatnonzero(self.spaced[np.frombuffer(raw, self.dtype)]) * self.width).tolist()
+            if len(first) == len(part):
+                self.known.update(zip(part, map(raw.__getitem__, map(slice, first, [*first[1:], len(raw)]))))
+            else:  # a vocabulary with spaces inside tokens
+                self.known.update(zip(part, self._ids([" " + t for t in part])))
 
     def _plain(self, text: str) -> bool:
         """Whether a token starts at each space of the text, all of which stand between other characters."""
@@ -152,17 +149,15 @@ def encoder(tokenizer: str, end_id: int) -> Encoder:
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int) -> bytes:
-    """A dictionary from the ids of a bounded sample of short documents; empty where there are too few."""
-    short = docs.where(F.length("text").between(1, SAMPLE_CHARS)).select("doc_id", "text")
-    rows = small_sample(short, F.xxhash64("doc_id", "text"), SAMPLE_DOCS).select("text").collect()
-    samples = encoder(tokenizer, end_id).encode([r.text for r in rows])
-    if len(samples) < 100:
-        return b""
-    size = min(DICTIONARY_BYTES, max(256, sum(map(len, samples)) // 10))
-    try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
-    except zstandard.ZstdError:  # samples too alike or too small: frames do without one
-        return b""
+    """A dictionary from the ids of slices of a bounded sample of documents; empty only where no text is.
+
+    Documents of any length are eligible. Where there are too few samples to train on, or they are
+    too alike, the samples themselves are the dictionary's content.
+    """
+    some = small_sample(docs.where("text <> ''").select("doc_id", "text"), F.xxhash64("doc_id", "text"), SAMPLE_DOCS)
+    first = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1) + 1
+    rows = some.select(F.col("text").substr(first.cast("int"), F.lit(SAMPLE_CHARS)).alias("text")).collect()
+    return shared_dictionary(encoder(tokenizer, end_id).encode([r.text for r in rows]), DICTIONARY_BYTES)
 
 
 def pack_shard(dictionary: bytes, width: int, docs: list[int | None], tokens: list[int], frames: list[bytes]) -> list[bytes]:
@@ -210,6 +205,7 @@ def write_token_store(
     Documents are in ascending doc_id order over the shards (null first; rows of one id in the
     order of their ids' bytes). A null text counts as empty: its document has the end id alone.
     An empty table gives no shard. ``base`` of the manifest is the number of ids in all shards before.
+    A text of any length is encoded whole, in one task; columns other than these two are not read.
     """
     spark = docs.sparkSession
     docs = id_and_text(docs, id_col, text_col)
@@ -231,7 +227,7 @@ def write_token_store(
     size = encoded.agg(F.sum(F.length("frame"))).first()[0] or 0
     # The row's place in the staged table only splits rows that agree in all else.
     ordered = encoded.withColumn("row", F.monotonically_increasing_id())
-    ordered = ordered.repartitionByRange(1 + size // (4 << 20), "doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie")
+    ordered = ordered.repartitionByRange(1 + size // max(1, shard_bytes), "doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie")
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -286,8 +282,9 @@ def read_token_store(manifest: DataFrame, dictionary: bytes) -> DataFrame:
                 shard.close()
 
     files = manifest.select("path", "base")
-    shards = max(1, min(manifest.sparkSession.sparkContext.defaultParallelism * 4, 1000))
-    return files.repartition(shards).mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    size = manifest.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(manifest.sparkSession.sparkContext.defaultParallelism, size // READ_BYTES)
+    return files.repartition(tasks).mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def read_document(manifest_rows: Iterable, dictionary: bytes, doc_id: int) -> list[np.ndarray]:
