@@ -7,6 +7,7 @@ A file starts with a skippable Zstandard frame that holds the dictionary, as in
 from __future__ import annotations
 
 import base64
+import hashlib
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -16,14 +17,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import open_folder, small_sample, write_file
+from tidewell.llm.common import open_folder, shared_dictionary, small_sample, write_file
 from tidewell.session import stage
 
 DICTIONARY_MAGIC = 0x184D2A5D
 #: Payloads shorter than this are archived in full even where others equal them.
 REVISIT_BYTES = 1000
 FILE_BYTES = 32 << 20
-SAMPLE_PAGES, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 20_000, 64 << 10
+SAMPLE_PAGES, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 20_000, 64 << 10
+#: Bytes of archives that one task reads back.
+READ_BYTES = 64 << 20
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PAGE_SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
@@ -96,18 +99,15 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def train_dictionary(pages: DataFrame, date: str) -> bytes:
-    """A dictionary from the records of a bounded sample of pages, those with the smallest hashes."""
-    fit = pages.where(F.length("payload").between(1, SAMPLE_CHARS))
-    rows = small_sample(fit, F.xxhash64("payload_digest", "page_id"), SAMPLE_PAGES).select(
-        "page_id", "url", "payload", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).alias("refers_to")
+    """A dictionary from the records of a bounded sample of pages, those with the smallest hashes; empty only without pages.
+
+    Pages of any size are eligible; of each payload the first ``SAMPLE_BYTES`` bytes are learned from.
+    """
+    rows = small_sample(pages, F.xxhash64("payload_digest", "page_id"), SAMPLE_PAGES).select(
+        "page_id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), "payload_bytes", "payload_digest",
+        F.lit("response").alias("record_type"), F.lit(None).alias("refers_to"),
     )
-    samples = [record({**r.asDict(), "payload": bytes(r.payload)}, date) for r in rows.collect()]
-    if len(samples) < 50:
-        return b""
-    try:
-        return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(256, sum(map(len, samples)) // 10)), samples).as_bytes()
-    except zstandard.ZstdError:  # samples too alike or too small: records do without one
-        return b""
+    return shared_dictionary([record({**r.asDict(), "payload": bytes(r.payload)}, date) for r in rows.collect()], DICTIONARY_BYTES)
 
 
 def write_archives(decided: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", file_bytes: int = FILE_BYTES) -> DataFrame:
@@ -148,7 +148,7 @@ def write_archives(decided: DataFrame, folder: str, date: str = "2024-01-01T00:0
 def read_records(path: str) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields and block of each record of a file, streamed."""
     fs, place = open_folder(path)
-    with fs.open_input_stream(place) as source:
+    with fs.open_input_stream(place, compression=None) as source:
         if int.from_bytes(source.read(4), "little") != DICTIONARY_MAGIC:
             raise ValueError(f"{path} has no dictionary frame")
         dictionary = source.read(int.from_bytes(source.read(4), "little"))
@@ -168,7 +168,11 @@ def read_records(path: str) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:
-    """The page records of the files in the manifest, in the columns of ``decide``."""
+    """The page records of the files in the manifest, in the columns of ``decide``.
+
+    Size and digest of each response are those of the payload read; a record that says otherwise is
+    an error. A revisit has no payload: its size and digest are what its record states.
+    """
     kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary())
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"]
 
@@ -185,6 +189,8 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                     head, _, payload = block.partition(b"\r\n\r\n")
                     size = next(int(x[15:]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:"))
                     digest = base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
+                    if fields["WARC-Type"] == "response" and (len(payload), hashlib.sha1(payload).hexdigest()) != (size, digest):
+                        raise ValueError(f"{path} holds a payload that differs from its record's digest")
                     page, target = (int(fields[k]) if k in fields else None for k in ("Page-Id", "Refers-To-Page-Id"))
                     rows.append((page, size, digest, fields["WARC-Type"], target, fields["WARC-Target-URI"], payload))
                     held += len(payload)
@@ -194,5 +200,6 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                 if rows:
                     yield out(rows)
 
-    spread = max(1, min(manifest.sparkSession.sparkContext.defaultParallelism * 4, 1000))
-    return manifest.select("path").repartition(spread).mapInArrow(read, RECORD)
+    size = manifest.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(manifest.sparkSession.sparkContext.defaultParallelism, size // READ_BYTES)
+    return manifest.select("path").repartition(tasks).mapInArrow(read, RECORD)
