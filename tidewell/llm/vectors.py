@@ -13,14 +13,12 @@ from tidewell.llm.common import components, small_sample, union
 from tidewell.session import stage
 
 THRESHOLD = 0.98
-#: The quantiser is fitted on at most so many vectors of a length; every vector is indexed.
-SAMPLE = 8192
-SUBSPACES, CODES, LISTS = 8, 64, 512
+#: The quantiser is fitted on a sample of a length's vectors, so many per list but no fewer than SAMPLE; every vector is indexed.
+SAMPLE, PER_LIST = 8192, 16
+#: Lists grow with the square root of the number of vectors; LISTS bounds the sample and the tables in a worker.
+SUBSPACES, CODES, LISTS = 8, 64, 4096
 #: Members of one list part at most; larger lists are cut by hash and their queries visit all parts.
 PART = 8192
-#: Lists are probed as far as a vector at the threshold's distance can have them as its own, in
-#: standard deviations of its offset towards them.
-SPREAD = 4.0
 
 
 def _means(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -46,15 +44,13 @@ def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 class Quantiser:
     """Coarse lists and residual subspace codes for unit vectors of one length."""
 
-    def __init__(self, sample: np.ndarray, total: int, threshold: float) -> None:
+    def __init__(self, sample: np.ndarray, lists: int, threshold: float) -> None:
         x = sample / np.linalg.norm(sample, axis=1)[:, None]
         self.radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
-        self.lists = _means(x, max(1, min(LISTS, int(np.sqrt(total) / 4), len(x))))
+        self.lists = _means(x, max(1, min(lists, len(x))))
         rest = x - self.lists[_nearest(x, self.lists)]
         self.parts = np.array_split(np.arange(x.shape[1]), min(SUBSPACES, x.shape[1]))
         self.books = [_means(rest[:, p], min(CODES, len(x))) for p in self.parts]
-        self.gaps = np.sqrt(_squares(self.lists, self.lists))
-        self.margin = self.radius * min(1.0, SPREAD / np.sqrt(x.shape[1]))
 
     def encode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Home list, codes, error of the codes, and which lists to probe."""
@@ -64,7 +60,10 @@ class Quantiser:
         codes = np.stack([_nearest(rest[:, p], b) for p, b in zip(self.parts, self.books)], 1).astype(np.uint8)
         guess = np.concatenate([b[codes[:, i]] for i, b in enumerate(self.books)], 1)
         error = np.linalg.norm(rest - guess, axis=1)
-        probes = far - far.min(1)[:, None] <= 2 * self.gaps[home] * self.margin
+        # A vector whose home is list L is at least as near to L as to this one's home H. With |a - b| <= radius,
+        # |a - L|^2 - |a - H|^2 <= 2 * radius * |L - H| follows, so no link lies in a list that is not probed.
+        gaps = np.sqrt(_squares(self.lists[home], self.lists))
+        probes = far - far.min(1)[:, None] <= 2 * gaps * self.radius + 1e-9
         probes[np.arange(len(unit)), home] = True
         return home, codes, error, probes
 
@@ -140,8 +139,9 @@ def near_vectors(
     is at least ``threshold``. Null or zero vectors, and those with null or non-finite components,
     link with nothing and stay alone. Equal vectors of a label are one class, linked among
     themselves. ``n_links`` counts rows, ``component_id`` is the smallest vec_id reachable, and
-    ``kept`` marks the row that has it. Probing is wide but not exhaustive: the recall of links is
-    measured in the tests. No link is reported whose exact cosine is below the threshold.
+    ``kept`` marks the row that has it. Probing reaches as far as a link can, so all links are found, and
+    no link is reported whose exact cosine is below the threshold. Rows that repeat a vec_id count
+    each; an empty table gives no rows; columns other than these three are not read.
     """
     rows = vectors.select(
         vectors[id_col].cast("long").alias("vec_id"),
@@ -157,8 +157,9 @@ def near_vectors(
     dims = [r["dim"] for r in classes.groupBy(F.size("v").alias("dim")).count().collect()]
     for dim in sorted(dims):
         same = classes.where(F.size("v") == dim)
-        sample = np.array([r.v for r in small_sample(same, F.xxhash64("label", "v"), SAMPLE).collect()], np.float64)
-        quantiser = Quantiser(sample, same.count(), threshold)
+        lists = min(LISTS, int(np.sqrt(same.count()) / 4))
+        fit = small_sample(same, F.xxhash64("label", "v"), max(SAMPLE, PER_LIST * lists))
+        quantiser = Quantiser(np.array([r.v for r in fit.collect()], np.float64), lists, threshold)
 
         def assign(batches: Iterable[pa.RecordBatch], quantiser=quantiser) -> Iterator[pa.RecordBatch]:
             for batch in batches:
