@@ -19,7 +19,8 @@ SAMPLE_DOCS, SAMPLE_CHARS = 48, 500
 TRAINING_CHARS = 160_000
 #: Letters whose transitions are in a dense table, the most frequent ones; those of all other letters are searched for.
 ALPHABET = 60
-#: Phrases end at multiples of this many characters, so that long texts are parsed in parallel lanes.
+#: Texts are parsed in parallel lanes of this many characters, each from the start state; where the lane before
+#: ends in another state, the lane is parsed again from there until both parses are in one state.
 LANE = 1024
 UNKNOWN = "und"
 
@@ -130,13 +131,19 @@ class Parser:
         self.keys, self.targets = self.keys[order], np.concatenate([*targets, np.zeros(1, np.int64)])[order].astype(np.int32)
         self.roots = np.array(roots, np.int32).reshape(-1, self.codes)
 
-    def _rare(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Moves by codes beyond the table, of states per language and lane."""
-        wanted = state.astype(np.int64) * self.codes + codes
+    def _step(self, state: np.ndarray, codes: np.ndarray, lang: np.ndarray, wide: bool) -> np.ndarray:
+        """Next states, times four, and the phrases that end there, for states of the languages ``lang``."""
+        if not wide:
+            return self.moves[state * np.int32(self.width) + codes]
+        move = self.moves[state * np.int32(self.width) + np.where(codes < self.width, codes, 2)]
+        if not (rare := codes >= self.width).any():
+            return move
+        # Codes beyond the table: the transition, or the end of a phrase and the start of the next.
+        codes, wanted = codes.astype(np.int64), state.astype(np.int64) * self.codes + codes
         at = np.searchsorted(self.keys, wanted)
-        again, start = self.roots[:, codes], self.starts[:, None]
+        again, start = self.roots[lang, codes], self.starts[lang]
         failed = np.where(again > 0, again, start) << 2 | ((state != start).astype(np.int32) + (again == 0))
-        return np.where(self.keys[at] == wanted, self.targets[at] << 2, failed)
+        return np.where(rare, np.where(self.keys[at] == wanted, self.targets[at] << 2, failed), move)
 
     def _clean(self, text: str) -> np.ndarray:
         codes = self.code[_points(text)]
@@ -160,27 +167,56 @@ class Parser:
         filled[ends[lanes > 0]] = (sizes - (lanes - 1) * LANE)[lanes > 0]
         order = np.argsort(-filled, kind="stable")
         columns, filled = np.ascontiguousarray(grid[order].T), filled[order]
+        lang = np.arange(len(self.names))[:, None]
         state = np.repeat(self.starts[:, None], len(order), 1)
         count = np.zeros(state.shape, np.int32)
         live = np.searchsorted(-filled, -np.arange(1, LANE + 1), side="right")  # lanes that reach each column
         wide = self.codes > self.width and bool((grid >= self.width).any())
         for j in range(int(filled[0]) if len(filled) else 0):
             n = live[j]
-            if wide:
-                rare = np.flatnonzero(columns[j, :n] >= self.width)
-                move = self.moves[state[:, :n] * np.int32(self.width) + np.where(columns[j, :n] < self.width, columns[j, :n], 2)]
-                move[:, rare] = self._rare(state[:, rare], columns[j, rare].astype(np.int64))
-            else:
-                move = self.moves[state[:, :n] * np.int32(self.width) + columns[j, :n]]
+            move = self._step(state[:, :n], columns[j, :n], lang, wide)
             count[:, :n] += move & 3
             state[:, :n] = move >> 2
-        count += state != self.starts[:, None]
+        back = np.argsort(order)
+        state, count, filled = state[:, back], count[:, back], filled[back]
+        self._carry(grid, filled, owner, state, count, wide)
+        last = np.append(owner[1:] != owner[:-1], True)[: len(owner)]
+        count += (state != self.starts[:, None]) & last
         total = np.zeros((len(self.names), len(clean)))
         for k in range(len(self.names)):
-            total[k] = np.bincount(owner[order], count[k], len(clean))
+            total[k] = np.bincount(owner, count[k], len(clean))
         lettered = np.fromiter((bool((c > 1).any()) for c in clean), bool, len(clean))
         return total / np.maximum(sizes, 1), lettered
 
+    def _carry(self, grid: np.ndarray, filled: np.ndarray, owner: np.ndarray, state: np.ndarray, count: np.ndarray, wide: bool) -> None:
+        """Correct end states and counts of lanes, in place, for the state that the lane before ends in.
+
+        Both parses of a lane go on side by side and stop where they meet, mostly within some
+        phrases; from there on they agree. A lane in which they do not meet passes its new end on.
+        """
+        used = np.repeat(self.starts[:, None], len(filled), 1)
+        inner = np.flatnonzero(owner[1:] == owner[:-1]) + 1  # lanes that go on with a text
+        while True:
+            lang, at = np.nonzero(used[:, inner] != state[:, inner - 1])
+            if not len(lang):
+                return
+            lane = inner[at]
+            old, new = used[lang, lane], state[lang, lane - 1]
+            used[lang, lane] = new
+            for j in range(LANE):
+                open_ = filled[lane] > j
+                if not open_.all():  # ended apart
+                    state[lang[~open_], lane[~open_]] = new[~open_]
+                    lang, lane, old, new = lang[open_], lane[open_], old[open_], new[open_]
+                if not len(lane):
+                    break
+                codes = grid[lane, j]
+                a, b = self._step(old, codes, lang, wide), self._step(new, codes, lang, wide)
+                np.add.at(count, (lang, lane), (b & 3) - (a & 3))
+                apart = (a >> 2) != (b >> 2)
+                lang, lane, old, new = lang[apart], lane[apart], a[apart] >> 2, b[apart] >> 2
+            state[lang, lane] = new
+
 
 @lru_cache(maxsize=1)
 def parser(training: tuple[tuple[str, tuple[str, ...]], ...]) -> Parser:
@@ -222,7 +258,9 @@ def identify(
     The language whose text parses the document into the fewest phrases per character wins; of
     equal ones the first by name. ``score`` is by how much the second-best needs more phrases, as a
     share of its own. A null text, or one without a letter, is ``und`` with score 0; so is every
-    text where nothing was learned. Repeated rows give repeated rows.
+    text where nothing was learned. Repeated rows give repeated rows, an empty table none. Phrases of a
+    text of any length are those of one parse from its start. With ``keep`` the row keeps all its
+    columns, also those that are named like results; otherwise only the two are read.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
