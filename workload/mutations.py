@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewell.operators import mutation
 from tidewell.operators.ordering import global_rank
 from tidewell.session import scratch_path
-from tidewell.sources.tables import TableStore
+from tidewell.sources.tables import TableStore, WriteConflict
 from workload.tables import load
 
 KEYS = ["o_orderkey", "month"]
@@ -126,6 +126,34 @@ def partition_replace(spark, sf):
     return store.read("daily").select("snapshot_date", "user_id", "n")
 
 
+def append_new_column(spark, sf):
+    """Later orders bring a column that stored rows lack; those read null there."""
+    store, orders = TableStore(spark, scratch_path(spark, "append")), _orders(spark, sf)
+    later = orders.where(F.col("month") >= F.lit(date(1999, 7, 1))).withColumn("half", F.quarter("month") > 2)
+    store.append("orders", _target(spark, sf), partition_by=["month"])
+    store.append("orders", later)
+    return store.read("orders").select(*orders.columns, "half")
+
+
+def seed_sources(spark, sf):
+    """Two sources seed one table, each of them twice; the second time is skipped."""
+    store, orders = TableStore(spark, scratch_path(spark, "seed")), _orders(spark, sf)
+    for status in ("F", "O", "F", "O"):
+        store.seed("orders", orders.where(F.col("o_orderstatus") == status).withColumn("_source_type", F.lit(status)), status)
+    return store.read("orders").select("o_orderkey", "month", "o_totalprice", "_source_type")
+
+
+def published_once(spark, sf):
+    """A batch published twice with its rows dealt out otherwise; changed rows are refused and leave it as it is."""
+    store, orders = TableStore(spark, scratch_path(spark, "publish")), _orders(spark, sf)
+    said = [store.publish_once("orders", rows).status for rows in (orders, orders.repartition("o_custkey"))]
+    try:
+        said.append(store.publish_once("orders", orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)).status)
+    except WriteConflict:
+        said.append("refused")
+    return store.read("orders").withColumn("said", F.lit(",".join(said)))
+
+
 def latest_per_key(spark, sf):
     newest = mutation.latest_per_key(load(spark, sf, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"])
     return newest.select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")
@@ -193,6 +221,21 @@ SELECT month, orders_before, total_before, orders, total FROM a LEFT JOIN b USIN
         "SELECT CAST(ts AS DATE) AS snapshot_date, user_id, count(*) + CASE WHEN CAST(ts AS DATE) = DATE '2024-01-12' "
         "THEN 1000 ELSE 0 END AS n FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-13' GROUP BY CAST(ts AS DATE), user_id",
     ),
+    "append_new_column": (
+        append_new_column,
+        "SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_custkey, o_orderstatus, o_totalprice, "
+        "CASE WHEN o_orderdate >= DATE '1999-07-01' THEN quarter(o_orderdate) > 2 END AS half FROM orders",
+    ),
+    "seed_sources": (
+        seed_sources,
+        "SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_totalprice, o_orderstatus AS _source_type "
+        "FROM orders WHERE o_orderstatus IN ('F', 'O')",
+    ),
+    "published_once": (
+        published_once,
+        "SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_custkey, o_orderstatus, o_totalprice, "
+        "'created,unchanged,refused' AS said FROM orders",
+    ),
     "latest_per_key": (
         latest_per_key,
         "SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice FROM orders QUALIFY row_number() OVER "
