@@ -90,14 +90,50 @@ def removed_words(texts, window):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("block,lengthen", [(1 << 20, 256), (400, 0)])
-def test_substrings(docs, nothing, monkeypatch, block, lengthen):
+@pytest.mark.parametrize("block,lengthen,group", [(1 << 20, 256, 1 << 17), (400, 0, 1 << 17), (400, 2, 1), (1 << 20, 0, 30)])
+def test_substrings(docs, nothing, monkeypatch, block, lengthen, group):
     monkeypatch.setattr(substrings, "LENGTHEN", lengthen)
+    monkeypatch.setattr(substrings, "GROUP", group)
     got = substrings.drop_repeats(docs, block_bytes=block)
     assert rows_of(got, "doc_id", "n_words", "n_removed", "kept") == removed_words(texts_of(docs), 20)
     assert substrings.drop_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("window,prefix,lengthen", [(20, 8, 4096), (20, 8, 0), (6, 2, 3)])
+def test_substrings_of_few_words(spark, monkeypatch, window, prefix, lengthen):
+    """Few different words, long ones among them, repeated ids, shared passages and null ids, against brute force."""
+    monkeypatch.setattr(substrings, "LENGTHEN", lengthen)
+    r, shared, huge = np.random.default_rng(window + lengthen), passage(31, 90).split(), "w" * 70_000
+    rows = []
+    for i in range(60):
+        w = r.choice(["a", "b", "é", huge, huge + "x", "\x1f", "日本"], r.integers(0, 60), p=[0.5, 0.3, 0.1, 0.02, 0.02, 0.03, 0.03]).tolist()
+        at = int(r.integers(0, 60))
+        rows.append((None if i % 13 == 5 else int(r.integers(0, 40)), " ".join(w + shared[at : at + 30] + passage(i, 8).split()) + "\n"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = substrings.drop_repeats(docs, window, prefix, block_bytes=3000)
+    assert rows_of(got, "doc_id", "n_words", "n_removed", "kept") == removed_words(texts_of(docs), window)
+
+
+def test_repeats_longer_than_the_window(spark):
+    long, short = passage(41, 300), passage(42, 25)
+    rows = [(1, long), (2, passage(43, 9) + " " + long + " " + passage(44, 9) + " " + short), (3, short), (4, passage(45, 400)), (5, None)]
+    got = substrings.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert rows_of(got, "doc_id", "n_removed", "n_repeats", "longest_repeat") == [(1, 0, 0, 0), (2, 300, 1, 300), (3, 25, 1, 25), (4, 0, 0, 0), (5, 0, 0, 0)]
+
+
+def test_subtree_gives_common_prefixes():
+    r = np.random.default_rng(7)
+    symbols, starts = r.integers(0, 3, 400), np.arange(380)
+    sizes = np.minimum(40, 400 - starts)
+    order, depth = substrings.subtree(symbols, starts, sizes, 40)
+    suffixes = [symbols[s : s + n].tolist() for s, n in zip(starts[order], sizes[order])]
+    assert suffixes == sorted(suffixes) and depth[0] == 0
+    for a, b, d in zip(suffixes, suffixes[1:], depth[1:]):
+        assert a[:d] == b[:d] and (d == min(len(a), len(b)) or a[d] != b[d])
+    none = np.zeros(0, np.int64)
+    assert [len(x) for x in substrings.subtree(symbols, none, none, 40)] == [0, 0]
+
+
 def test_language(spark, sf_dir, docs, nothing):
     found = queries.op3_language(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id")
     held = found.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
