@@ -39,7 +39,8 @@ def find_leaks(
 
     Words are runs of letters and digits in lower case; an item is the set of its shingles of five
     words, or its whole word sequence where it has fewer. Items without words match nothing, and so
-    do null texts. Rows that repeat an id give one row, with the largest share. Null ids are kept.
+    do null texts. Rows that repeat an id give one row, with the largest share. Null ids are kept. Texts of
+    any length are searched whole; empty tables give no rows; other columns are not read.
 
     Items are partitioned by size. In a partition of sizes up to u, an item's sketch is its
     k = u - ceil(0.8 u) + 1 smallest hashes: a document that lacks them all lacks too many shingles,
@@ -51,6 +52,8 @@ def find_leaks(
     listed = listed.where(F.size("words") > 0).withColumn("length", F.least(F.size("words"), F.lit(SHINGLE)))
     lengths = sorted(r["length"] for r in listed.select("length").distinct().collect())  # five at most
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    # A row is found again by id and text, so that rows without an id are not one key.
+    texts = texts.withColumn("digest", F.xxhash64("text"))
 
     def of_length(make, column: str) -> Column:
         cases = F.lit(None)
@@ -76,12 +79,12 @@ def find_leaks(
     probes = None
     for n in lengths:
         small = F.filter(_hashed("h", n), lambda x: x <= F.lit(tops[n]))  # noqa: B023
-        part = words.select("doc_id", F.lit(n).alias("length"), F.explode(small).alias("probe"))
+        part = words.select("doc_id", "digest", F.lit(n).alias("length"), F.explode(small).alias("probe"))
         probes = part if probes is None else probes.unionByName(part)
-    candidates = probes.join(sketch, ["length", "probe"]).select("doc_id", "item_id", "length").distinct()
+    candidates = probes.join(sketch, ["length", "probe"]).select("doc_id", "digest", "item_id", "length").distinct()
 
     held = candidates.join(listed.select("item_id", "shingles", "n_item"), candidates.item_id.eqNullSafe(listed.item_id)).drop(listed.item_id)
-    found = texts.withColumnRenamed("doc_id", "id").join(held, F.col("id").eqNullSafe(F.col("doc_id")))
+    found = texts.withColumnsRenamed({"doc_id": "id", "digest": "own"}).join(held, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("digest")))
     found = found.withColumn("words", _words(F.col("text")))
     shared = F.size(F.array_intersect(of_length(_shingles, "words"), "shingles"))
     # The filter stands after the aggregate: pushed below, it would split the text anew for every shingle.
