@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tidewell.llm import contamination, language, mixing, queries, secrets, simhash, substrings, token_counts, token_store, vectors, warc
@@ -134,6 +135,15 @@ def test_subtree_gives_common_prefixes():
     assert [len(x) for x in substrings.subtree(symbols, none, none, 40)] == [0, 0]
 
 
+def test_leaks_among_rows_without_id(spark):
+    """Many rows without an id are not one key: each is checked against the items that its own text may hold."""
+    items = spark.createDataFrame([(i, passage(500 + i, 20)) for i in range(6)] + [(None, passage(520, 20))], "item_id long, text string")
+    rows = [(None, f"{passage(600 + i, 10)} {passage(500 + i % 12, 20)}") for i in range(120)] + [(4, None), (4, passage(520, 20)), (4, passage(520, 18))]
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, item_id int, digest string").repartition(4)
+    got = rows_of(contamination.find_leaks(docs, items), "doc_id", "item_id", "n_shared", "n_item")
+    assert got == sorted([*((None, i, 16, 16) for i in range(6)), (4, None, 16, 16)], key=str)
+
+
 def test_language(spark, sf_dir, docs, nothing):
     found = queries.op3_language(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id")
     held = found.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
@@ -274,6 +284,67 @@ def test_simhash(docs, nothing):
     assert simhash.near_duplicates(nothing).count() == 0
 
 
+def plain_fingerprint(text):
+    """Bit by bit, from the definition."""
+    words = [w for w in re.split("[\\x20\\x09-\\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    h = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_fingerprints_by_definition(spark):
+    r = np.random.default_rng(3)
+    texts = [None, "", " \n", "Ab", "ÀÉ Ab\x0bcd \x1cx", "a b c d " * 50, *(passage(i, int(r.integers(1, 40))).title() for i in range(60))]
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], "doc_id long, text string, fp string, component_id string")
+    got = {r.doc_id: int(r.fingerprint, 16) for r in simhash.near_duplicates(df).collect()}
+    assert got == {i: plain_fingerprint(t) for i, t in enumerate(texts)}
+
+
+def test_copies_by_the_thousand_and_rows_without_id(spark):
+    text = passage(77, 30)
+    many = spark.range(3000).select(F.when(F.col("id") % 2 == 0, F.col("id") + 5).alias("doc_id"), F.lit(text).alias("text"))
+    assert {r.component_id for r in simhash.near_duplicates(many).select("component_id").distinct().collect()} == {5}
+    none = many.select(F.lit(None).cast("long").alias("doc_id"), "text")
+    assert simhash.near_duplicates(none).groupBy("component_id").count().collect() == [(None, 3000)]
+
+
+@pytest.mark.parametrize("group,doublings,masks", [(4096, 0, 5), (1, 0, 5), (4096, 13, 15), (4096, 22, 35), (4, 40, 70)])
+def test_links_by_any_choice_of_blocks(spark, monkeypatch, group, doublings, masks):
+    """All links are found whatever the masks, and a tenfold table has no larger groups."""
+    r = np.random.default_rng(9)
+    codes = [int(c) for c in r.integers(0, 1 << 63, 120, dtype=np.uint64) * np.uint64(2) + np.uint64(1)]
+    codes += [c ^ sum(1 << int(b) for b in r.choice(64, k % 7, replace=False)) for k, c in enumerate(codes * 2)]
+    codes = sorted(set(codes))
+    plain = simhash.dealing_masks
+    chosen = plain(4096 << doublings, 4, 4096)
+    assert len(chosen) == masks
+    monkeypatch.setattr(simhash, "dealing_masks", lambda *_: chosen)
+    monkeypatch.setattr(simhash, "GROUP", group)
+    signed = [(c - (c >> 63 << 64),) for c in codes]
+    edges = simhash.links(spark.createDataFrame(signed, "fp long").repartition(3), 4).collect()
+    parent = {c: c for (c,) in signed}
+
+    def root(c):
+        while parent[c] != c:
+            c = parent[c]
+        return c
+
+    for a, b in edges:
+        parent[root(a)] = root(b)
+    label = {c: c for (c,) in signed}
+    grown = True
+    while grown:
+        grown = False
+        for (a,) in signed:
+            for (b,) in signed:
+                if label[a] != label[b] and bin((a ^ b) & (1 << 64) - 1).count("1") <= 4:
+                    low, high = sorted((label[a], label[b]))
+                    label, grown = {c: low if v == high else v for c, v in label.items()}, True
+    assert len({root(c) for c in parent}) == len(set(label.values()))
+    for n in (10**6, 10**9, 5 * 10**10):
+        assert n / (1 << min(m.bit_count() for m in plain(n, 4, 4096))) <= 4096
+
+
 def test_gray_index():
     r = np.random.default_rng(1)
     codes = r.integers(0, 1 << 63, 200, dtype=np.uint64)
