@@ -102,6 +102,13 @@ def test_promote_roll_back_and_promote_again(registry):
     assert (again.decision, again.previous_champion_version) == ("APPROVED", "1")
     kpis = reports.governance_kpis(registry.read("model_promotion_history")).first()
     assert (kpis.champion_version, kpis.total_promotions) == ("2", 3)
+    listed = reports.promotion_history(registry.read("model_promotion_history")).orderBy("position").collect()
+    assert [(r.position, r.candidate_version, r.decision) for r in listed] == [
+        (1, "2", "APPROVED"), (2, "1", "ROLLBACK"), (3, "2", "APPROVED"), (4, "1", "APPROVED")
+    ]
+    assert reports.promotion_history(registry.read("model_promotion_history"), ["ROLLBACK"]).first().position == 1
+    pairs = reports.contract_compatibility(registry.read("model_promotion_history")).collect()
+    assert sum(r.approved for r in pairs) == 3 and all(r.latest is not None for r in pairs)
 
 
 def test_rejection_without_champion_blocks_scoring(registry, spark):

@@ -297,3 +297,27 @@ def metrics_by_version(history: DataFrame) -> DataFrame:
     return newest.select(
         "candidate_version", "candidate_pr_auc", "champion_pr_auc", "candidate_recall", "contract_upgrade"
     )
+
+
+#: Columns of the history table, as reported.
+HISTORY = (
+    "candidate_version", "previous_champion_version", "candidate_pr_auc", "champion_pr_auc", "candidate_recall",
+    "champion_recall", "decision", "decision_reason", "evaluated_at",
+)
+
+
+def promotion_history(history: DataFrame, decisions: Sequence[str] = ()) -> DataFrame:
+    """All decisions, or only those named, with their ``position``: the newest first, then by model and version."""
+    rows = history.where(F.col("decision").isin(*decisions)) if decisions else history
+    order = [F.col("evaluated_at").desc_nulls_last(), F.col("model_name").asc(), F.col("candidate_version").asc()]
+    return global_rank(rows.select("model_name", *HISTORY), order, "position")
+
+
+def contract_compatibility(history: DataFrame) -> DataFrame:
+    """Per model the pairs of contracts that met, whether that was an upgrade, and the versions and approvals among them."""
+    pair = ["model_name", "candidate_inference_contract", "previous_champion_inference_contract", "contract_upgrade"]
+    return history.groupBy(*pair).agg(
+        F.count_distinct("candidate_version").alias("versions"),
+        F.count_if(F.col("decision") == "APPROVED").alias("approved"),
+        F.max("evaluated_at").alias("latest"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewell.functions import bands
-from tidewell.operators import conform
+from tidewell.operators import conform, runlog
 from tidewell.operators.mutation import latest_per_key
 from tidewell.plans import daily, reports
 from tidewell.session import scratch_path, stage
@@ -162,6 +162,31 @@ runs AS (SELECT event_type AS task_name, 'run-' || lpad(CAST(event_id AS VARCHAR
          FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events))"""
 
 
+def run_log_rows(spark, sf):
+    """The stored log of one run per return flag, which counts its lines; that of R fails after counting."""
+    store = TableStore(spark, scratch_path(spark, "runs"))
+    counts = load(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("n"), F.countDistinct("l_orderkey").alias("orders"))
+    for row in counts.orderBy("l_returnflag").collect():  # one row per return flag
+        try:
+            with runlog.track_run(store, "count_lines", row.l_returnflag) as run:
+                run.output.update(lines=row.n, orders=row.orders)
+                if row.l_returnflag.startswith("R"):
+                    raise ValueError(f"{row.n} lines refused")
+                run.status = "empty" if row.n == 0 else run.status
+        except ValueError:
+            pass
+    logged = store.read(runlog.TABLE)
+    timed = (F.col("finished_at") >= F.col("started_at")) & (F.col("duration_seconds") >= 0)
+    return logged.select("task_name", "run_id", "status", "output_summary", "error_message", timed.alias("timed"))
+
+
+RUN_LOG_ROWS = """
+SELECT 'count_lines' AS task_name, l_returnflag AS run_id, CASE WHEN l_returnflag LIKE 'R%' THEN 'failed' ELSE 'succeeded' END AS status,
+       CASE WHEN l_returnflag LIKE 'R%' THEN '{}' ELSE '{"lines": ' || count(*) || ', "orders": ' || count(DISTINCT l_orderkey) || '}' END AS output_summary,
+       CASE WHEN l_returnflag LIKE 'R%' THEN count(*) || ' lines refused' ELSE '' END AS error_message, true AS timed
+FROM lineitem GROUP BY l_returnflag"""
+
+
 def run_kpis(spark, sf):
     return rounded(reports.run_kpis(run_log(spark, sf)), 6, "success_rate", "avg_duration")
 
@@ -282,6 +307,7 @@ QUERIES = {
         f"WITH {RUN_LOG} SELECT count(*) AS total_runs, round(count(*) FILTER (WHERE status = 'succeeded') / count(*), 6) AS success_rate, "
         "round(avg(duration_seconds), 6) AS avg_duration, count(*) FILTER (WHERE status = 'failed') AS failed_runs FROM runs",
     ),
+    "run_log_rows": (run_log_rows, RUN_LOG_ROWS),
     "runs_by_day": (
         runs_by_day,
         f"WITH {RUN_LOG} SELECT CAST(started_at AS DATE) AS day, status, count(*) AS runs FROM runs GROUP BY ALL",

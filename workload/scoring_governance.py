@@ -320,6 +320,18 @@ def metrics_by_version(spark, sf):
     return reports.metrics_by_version(_audit(spark, sf))
 
 
+def promotion_history(spark, sf):
+    return reports.promotion_history(_audit(spark, sf))
+
+
+def rejected_candidates(spark, sf):
+    return reports.promotion_history(_audit(spark, sf), ["REJECTED"]).select("position", "candidate_version", "decision_reason")
+
+
+def contract_compatibility(spark, sf):
+    return reports.contract_compatibility(_audit(spark, sf))
+
+
 def candidate_selection(spark, sf):
     """Per model: the half-year candidate with the best (PR-AUC, F1)."""
     m = model_metrics(spark, sf).select(
@@ -393,6 +405,23 @@ QUERIES = {
         metrics_by_version,
         f"WITH {DECISIONS} SELECT candidate_version, candidate_pr_auc, champion_pr_auc, candidate_recall, contract_upgrade FROM aud",
     ),
+    "promotion_history": (
+        promotion_history,
+        f"WITH {DECISIONS} SELECT row_number() OVER (ORDER BY evaluated_at DESC NULLS LAST, model_name, candidate_version) AS position, model_name, "
+        + ", ".join(reports.HISTORY)
+        + " FROM aud",
+    ),
+    "rejected_candidates": (
+        rejected_candidates,
+        f"WITH {DECISIONS} SELECT row_number() OVER (ORDER BY evaluated_at DESC NULLS LAST, model_name, candidate_version) AS position, "
+        "candidate_version, decision_reason FROM aud WHERE decision = 'REJECTED'",
+    ),
+    "contract_compatibility": (
+        contract_compatibility,
+        f"WITH {DECISIONS} SELECT model_name, candidate_inference_contract, previous_champion_inference_contract, contract_upgrade, "
+        "count(DISTINCT candidate_version) AS versions, count(*) FILTER (WHERE decision = 'APPROVED') AS approved, "
+        "max(evaluated_at) AS latest FROM aud GROUP BY ALL",
+    ),
     "candidate_selection": (
         candidate_selection,
         f"WITH {MODELS}, c AS (SELECT model_name, model_version || '#' || half AS algorithm, round(test_pr_auc, 2) AS validation_pr_auc, "
