@@ -71,7 +71,8 @@ def mix(
     top bits finds the bucket that holds this place, and finer ones split that bucket alone. The
     hash is of the id and the text, so that reruns agree; rows that repeat both are taken or left
     together. A null source is a source of its own, the last one. Sources without words have
-    target 0. The query plans grow with the number of sources and buckets, never by document.
+    target 0, and an empty table gives no rows. Words are counted over whole texts of any length; columns
+    other than the three are not read. The query plans grow with the number of sources and buckets, never by document.
     """
     sized = stage(
         docs.select(

@@ -156,7 +156,8 @@ def count_tokens(
 
     ``model`` is the path of the model file on every machine. Counts are those of the model's
     library without added tokens. A null or empty text has no bytes and no tokens; repeated rows
-    give repeated rows.
+    give repeated rows, an empty table none. Texts of any length are counted whole, and columns other
+    than the two are not read.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

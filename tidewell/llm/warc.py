@@ -38,7 +38,8 @@ def decide(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     A null payload counts as empty. Of equal payloads of at least ``REVISIT_BYTES`` bytes, the row
     with the largest page_id is the response and the others revisit it; rows that repeat that
     page_id are responses too. A null page_id is smaller than all others; where all are null, all
-    are responses.
+    are responses. Payloads of any length are hashed whole; an empty table gives no rows; columns other
+    than these three are not read.
     """
     rows = pages.select(
         pages[id_col].cast("long").alias("page_id"),
