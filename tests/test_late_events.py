@@ -139,3 +139,18 @@ def test_unclean_events_do_not_count(spark, store, land):
     row = store.read(daily.FEATURES).first()
     assert (row.latest_usage_gb, row.days_since_last_activity) == (2.0, 2)
     assert store.read(ingest.BRONZE).count() == 2  # bronze keeps what has a key
+
+
+def test_of_events_at_one_time_the_highest_number_is_newest(spark, store, land):
+    def at_noon(i, customer):
+        return json.dumps({**json.loads(usage(i, 3, float(i), customer)), "event_timestamp": f"{START + timedelta(days=3)}T12:00:00Z"})
+
+    land(*[at_noon(i, f"c{i % 6}") for i in range(120) if i % 5])
+    as_of = START + timedelta(days=4)
+    daily.build_snapshot_from_days(store, as_of)
+    want = {f"c{c}": max(float(i) for i in range(120) if i % 5 and i % 6 == c) for c in range(6)}
+    assert {r.customer_id: r.latest_usage_gb for r in store.read(daily.FEATURES).collect()} == want
+    land(*[at_noon(i, f"c{i % 6}") for i in range(120, 126)], *[at_noon(i, f"c{i % 6}") for i in range(0, 6, 5)])
+    assert daily.repair_features(store) == [as_of]
+    assert {r.customer_id: r.latest_usage_gb for r in store.read(daily.FEATURES).collect()} == {f"c{i % 6}": float(i) for i in range(120, 126)}
+    assert stored(store, as_of) == direct(store, as_of)

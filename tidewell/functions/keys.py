@@ -40,18 +40,13 @@ def recency_key(ts: Column, tie_breaker: Column) -> Column:
     """Order by time, then by tie-breaker, packed into one decimal(38,0).
 
     A decimal keeps ``max_by`` inside hash aggregation; ordering by a struct
-    would turn the whole aggregate into a sort-based one. Integer tie-breakers
-    must be non-negative; hash other types first (see ``tie_hash``).
+    would turn the whole aggregate into a sort-based one. Tie-breakers are
+    non-negative integers.
     """
     micros = F.unix_micros(ts.cast("timestamp")).cast("decimal(19,0)")
     scaled = micros * F.lit("18446744073709551616").cast("decimal(20,0)")
     return (scaled + tie_breaker.cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
-def tie_hash(column: Column) -> Column:
-    """A non-negative 63-bit hash for tie-breaking on non-integer ids."""
-    return F.shiftrightunsigned(F.xxhash64(column), 1)
-
-
 def _as_column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -98,11 +98,15 @@ CUSTOMER_FEATURES = FeatureSpec(
 
 
 def _order_key(events: DataFrame, spec: FeatureSpec) -> Column:
-    """Newest-first key of an event: time, then id (integers as they are, other types hashed)."""
-    id_type = dict(events.dtypes)[spec.event_id]
-    integer = id_type in ("bigint", "int", "smallint", "tinyint")
-    tie = F.col(spec.event_id) if integer else keys.tie_hash(F.col(spec.event_id))
-    return keys.recency_key(F.col(spec.ts), tie)
+    """Newest-first key of an event: time, then id.
+
+    Integer ids are packed with the time. Other ids go by length, then by text, so that numbered ids
+    (``e9``, ``e10``) are in the order of their numbers; that key makes the aggregate sort-based.
+    """
+    if dict(events.dtypes)[spec.event_id] in ("bigint", "int", "smallint", "tinyint"):
+        return keys.recency_key(F.col(spec.ts), F.col(spec.event_id))
+    text = F.col(spec.event_id).cast("string")
+    return F.struct(F.col(spec.ts).cast("timestamp").alias("ts"), F.length(text).alias("length"), text.alias("id"))
 
 
 def _ratio_columns(spec: FeatureSpec) -> list[Column]:
