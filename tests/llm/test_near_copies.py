@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from tidewell.llm import near_copies
+from tidewell.llm import near_copies, simhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -99,3 +99,43 @@ def test_bucket_counts_refuse_no_similar_pair():
                 assert may or not near_copies.similar(a, b)
                 refused += not may
     assert refused > 100
+
+
+def test_simhash_links_are_found_and_named_by_nodes(spark, docs):
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    sets = near_copies._sets(rows, near_copies.WORDS).cache()
+    held = sets.select("node", "fp").distinct().collect()
+    label = {r.node: r.node for r in held}
+
+    def top(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    def join(a, b):
+        label[max(top(a), top(b))] = min(top(a), top(b))
+
+    for i, a in enumerate(held):
+        for b in held[:i]:
+            if ((a.fp ^ b.fp) & ((1 << 64) - 1)).bit_count() <= simhash.RADIUS:
+                join(a.node, b.node)
+    want = {n: top(n) for n in label}
+    assert len(set(want.values())) < len(want)
+    label = {n: n for n in label}
+    for a, b in near_copies.by_fingerprint(sets).collect():
+        assert want[a] == want[b]
+        join(a, b)
+    assert {n: top(n) for n in label} == want
+    assert {r.fp & ((1 << 64) - 1) for r in held} == {simhash.fingerprint(r.text, near_copies.WORDS) for r in docs.collect()}
+
+
+def test_pairs_refused_by_counts_are_not_made():
+    r = np.random.default_rng(6)
+    base = r.integers(0, 1 << 64, 100, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((base[: int(r.integers(40, 100))], r.integers(0, 1 << 64, 30, dtype=np.uint64)))) for _ in range(60)]
+    n = len(sets)
+    rows = {"shingle": np.zeros(n, np.int64), "place": np.zeros(n, np.int32), "node": np.arange(n), "size": np.array([len(s) for s in sets], np.int32),
+            "pivot": np.arange(n), "label": np.arange(n), "counts": np.stack([np.frombuffer(near_copies.bucket_counts(s), np.uint8) for s in sets])}
+    got = {(a, b) for batch in near_copies._apart(rows) for a, b in zip(*[batch.column(c).to_pylist() for c in "ab"])}
+    similar = {(i, j) for j in range(n) for i in range(j) if near_copies.similar(sets[i], sets[j])}
+    assert similar <= got and len(got) < n * (n - 1) // 4

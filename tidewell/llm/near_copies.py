@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.llm import simhash
 from tidewell.llm.common import components, per_slice
 from tidewell.session import stage, staged
 
@@ -81,7 +82,7 @@ def _common(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, hash, node (a hash of the shingle set), its size, prefix and bucket counts, of every row."""
+    """doc_id, hash, fp (the SimHash), node (a hash of the shingle set), its size, prefix and bucket counts, of every row."""
     common = _common(docs, words)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -94,10 +95,30 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*first, np.zeros(0, np.uint64)]).view(np.int64)))
         size = pa.array(np.fromiter(map(len, found), np.int32, len(found)))
         counts = pa.array(list(map(bucket_counts, found)), pa.binary())
-        columns = [batch.column("doc_id"), batch.column("hash"), pa.array(node), size, lists, counts]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "node", "size", "prefix", "counts"])
+        fp = np.array([simhash.fingerprint(t, words) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
+        columns = [batch.column("doc_id"), batch.column("hash"), pa.array(fp), pa.array(node), size, lists, counts]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "fp", "node", "size", "prefix", "counts"])
 
-    return docs.mapInArrow(per_slice(run), "doc_id long, hash long, node long, size int, prefix array<long>, counts binary")
+    return docs.mapInArrow(per_slice(run), "doc_id long, hash long, fp long, node long, size int, prefix array<long>, counts binary")
+
+
+def by_fingerprint(sets: DataFrame, radius: int = simhash.RADIUS) -> DataFrame:
+    """Pairs (a, b) of nodes that span all SimHash links: nodes of one fingerprint, and owners of fingerprints within the radius."""
+    seen = sets.select("node", "fp").distinct()
+    owners = stage(seen.groupBy("fp").agg(F.min("node").alias("owner")), "copies-fingerprints")
+    same = seen.join(owners, "fp").select(F.least("node", "owner").alias("a"), F.greatest("node", "owner").alias("b"))
+    edges = simhash.links(owners.select("fp"), radius)
+    for end in ("a", "b"):
+        edges = edges.join(owners.select(F.col("fp").alias(end), F.col("owner").alias(f"of_{end}")), end)
+    linked = edges.select(F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b"))
+    return same.unionByName(linked).where("a <> b").distinct()
+
+
+def _values(column: pa.Array) -> np.ndarray:
+    """A column as an array; bucket counts with a row for each value."""
+    if pa.types.is_binary(column.type):
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BUCKETS)
+    return column.to_numpy()
 
 
 def _by_shingle(rows: DataFrame, names: list[str], f: Callable[[dict[str, np.ndarray]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
@@ -111,7 +132,7 @@ def _by_shingle(rows: DataFrame, names: list[str], f: Callable[[dict[str, np.nda
 
         held: list[dict[str, np.ndarray]] = []
         for batch in batches:
-            rows = {c: batch.column(c).to_numpy() for c in names}
+            rows = {c: _values(batch.column(c)) for c in names}
             if not batch.num_rows:
                 continue
             if rows["shingle"][-1] == (held[0]["shingle"][-1] if held else rows["shingle"][0]):
@@ -145,7 +166,7 @@ def _pivots(r: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
 
 
 def _apart(r: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """All pairs of a group that are not joined yet, were not compared, and can be similar."""
+    """All pairs of a group that are not joined yet, were not compared, and can be similar by place and bucket counts."""
     ends = np.flatnonzero(np.append(r["shingle"][1:] != r["shingle"][:-1], True)) + 1
     lefts, rights, held = [], [], 0
     for start, end in zip([0, *ends[:-1]], ends):
@@ -155,6 +176,8 @@ def _apart(r: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for i in range(start, end - 1):
             j = np.arange(i + 1, end)
             j = j[(r["label"][j] != r["label"][i]) & (r["pivot"][j] != r["node"][i]) & _possible(r, np.full(len(j), i), j)]
+            if len(j):
+                j = j[may_be_similar(r["counts"][i : i + 1], r["counts"][j], r["size"][i].astype(np.int64) + r["size"][j])]
             if len(j):
                 lefts.append(np.full(len(j), r["node"][i])), rights.append(r["node"][j])
                 held += len(j)
@@ -207,9 +230,10 @@ def near_copies(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", tex
 
     Texts link where the Jaccard similarity of their distinct word shingles is 0.8 or more, and where
     their sets are equal; so do texts without words. The join is exact but for equal 64-bit hashes:
-    each set is dealt out by its prefix, and texts that share a prefix shingle are compared, first each
-    with the one text that comes first in most of its groups, then all those of a group that are still in different components. Texts of
-    a pair are read only where their bucket counts allow it to be similar.
+    SimHash links (``simhash.links``, over the same shingles) are found first and checked. Then each set is
+    dealt out by its prefix, and texts that share a prefix shingle are compared: each with the one text that
+    comes first in most of its groups, and all those of a group that are still in different components. Texts
+    of a pair are read, and pairs within a group made, only where bucket counts allow them to be similar.
     """
     text = docs[text_col].cast("string")
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("hash"))
@@ -226,11 +250,17 @@ def near_copies(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", tex
         with staged(texts, "copies-texts") as texts:
             met = groups.where("pivot <> node").groupBy("node", "pivot").agg(F.count("*").alias("n"))
             chosen = stage(met.groupBy("node").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("pivot")), "copies-chosen")
-            near = stage(_confirmed(chosen.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")), texts, words), "copies-near")
-            label = components(near, "copies-first")
-            labelled = groups.drop("pivot").join(chosen, "node", "left").join(label, "node", "left")
-            labelled = labelled.withColumns({"label": F.coalesce("component", "node"), "pivot": F.coalesce("pivot", "node")})
-            open_pairs = _by_shingle(labelled, [*POSTING, "pivot", "label"], _apart, "a long, b long")
+            first = chosen.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b"))
+            near = stage(_confirmed(by_fingerprint(sets).unionByName(first), texts, words), "copies-near")
+            label = stage(components(near, "copies-first"), "copies-label")
+            label_of = F.coalesce("component", "node").alias("label")
+            # Only groups that still hold two components go on, with the counts of their texts.
+            tags = groups.select("shingle", "node").join(label, "node", "left").select("shingle", label_of)
+            apart = tags.groupBy("shingle").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
+            still = stage(groups.drop("pivot").join(apart.select("shingle"), "shingle", "left_semi"), "copies-open")
+            about = texts.select("node", "counts").join(chosen, "node", "left").join(label, "node", "left")
+            about = about.select("node", "counts", F.coalesce("pivot", "node").alias("pivot"), label_of)
+            open_pairs = _by_shingle(still.join(about, "node"), [*POSTING, "pivot", "label", "counts"], _apart, "a long, b long")
             more = stage(_confirmed(open_pairs, texts, words), "copies-more")
     member = components(near.unionByName(more), "copies-edges")
     return sets.select("doc_id", "hash", "node").join(member, "node", "left").select("doc_id", "hash", F.coalesce("component", "node").alias("component"))
