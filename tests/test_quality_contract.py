@@ -122,6 +122,13 @@ def test_unknown_fields_are_reported_and_rescued(spark):
     assert parsed[2]._rescued_data is None
 
 
+def test_a_line_is_parsed_once_for_its_fields_and_once_for_the_others(spark):
+    raw = spark.createDataFrame([(json.dumps({"event_id": "x", "rogue": 5}), "f")], "value string, _source_file string")
+    parsed = contract.parse_with_rescue(raw, contract.EVENT_CONTRACT)
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 2
+    assert parsed.columns == [*contract.EVENT_CONTRACT.names, "_rescued_data", "_source_file"]
+
+
 def test_entity_state(spark):
     ddl = (
         "customer_id string, tenure int, monthly_charges double, churn_label int, contract string, "

@@ -99,16 +99,15 @@ def parse_with_rescue(raw: DataFrame, contract: Contract, text: str = "value") -
     Other columns of ``raw`` are carried along. A malformed line gives nulls in
     every contract field and keeps its text in ``_rescued_data``.
     """
-    known = F.array(*[F.lit(n) for n in contract.names])
-    as_map = F.from_json(F.col(text), "map<string,string>")
-    unknown = F.map_filter(as_map, lambda k, _: ~F.array_contains(known, k))
-    parsed = raw.withColumn("_event", F.from_json(F.col(text), contract.struct_type(relaxed=True)))
-    malformed = as_map.isNull() & F.col(text).isNotNull()
+    held = {"_event": F.from_json(F.col(text), contract.struct_type(relaxed=True)), "_event_map": F.from_json(F.col(text), "map<string,string>")}
+    # A column of its own: an expression used in several places would parse the line again in each.
+    parsed = raw.withColumns(held).withColumn("_event_unknown", F.map_filter("_event_map", lambda k, _: ~k.isin(*contract.names)))
+    malformed = F.col("_event_map").isNull() & F.col(text).isNotNull()
     carried = [c for c in raw.columns if c != text]
     return parsed.select(
         *[F.col(f"_event.{n}").alias(n) for n in contract.names],
         F.when(malformed, F.col(text))
-        .when(F.size(unknown) > 0, F.to_json(unknown))
+        .when(F.size("_event_unknown") > 0, F.to_json("_event_unknown"))
         .alias("_rescued_data"),
         *carried,
     )
