@@ -139,3 +139,37 @@ def test_pairs_refused_by_counts_are_not_made():
     got = {(a, b) for batch in near_copies._apart(rows) for a, b in zip(*[batch.column(c).to_pylist() for c in "ab"])}
     similar = {(i, j) for j in range(n) for i in range(j) if near_copies.similar(sets[i], sets[j])}
     assert similar <= got and len(got) < n * (n - 1) // 4
+
+
+def test_large_sets_are_told_apart_by_long_counts():
+    r = np.random.default_rng(7)
+    for n in (1025, 2048, 9000, 40_000):
+        a = np.unique(r.integers(0, 1 << 64, n, dtype=np.uint64))
+        for m in (n, n * 9 // 10, n * 2):
+            apart = np.unique(r.integers(0, 1 << 64, m, dtype=np.uint64))
+            x, y = near_copies.long_counts(a), near_copies.long_counts(apart)
+            assert x is None or y is None or not near_copies.may_be_similar_long(x, y, len(a) + len(apart))
+        for part in (0, 0.05, 0.1):  # around the bound
+            b = np.unique(np.concatenate((a[int(part * len(a)) :], r.integers(0, 1 << 64, int(part * len(a)), dtype=np.uint64))))
+            assert near_copies.may_be_similar_long(near_copies.long_counts(a), near_copies.long_counts(b), len(a) + len(b)) or not near_copies.similar(a, b)
+        b = a[: n - n // 8]  # of fewer shingles, perhaps with fewer buckets
+        if near_copies.long_counts(b):
+            assert near_copies.may_be_similar_long(near_copies.long_counts(a), near_copies.long_counts(b), len(a) + len(b))
+    assert near_copies.long_counts(a[:1024]) is None
+
+
+def test_only_plausible_pairs_are_confirmed(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    phrase = " ".join(f"p{i}" for i in range(600))  # in all texts, which are not near each other
+    rows = [(k, phrase + " " + " ".join(f"u{k}x{i}" for i in range(5000))) for k in range(12)]
+    rows += [(100 + k, edited(rows[k][1].split(), r, 20)) for k in range(3)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    seen, staged = [], near_copies.staged
+
+    def watched(df, purpose):
+        seen.append(df.select("node").distinct().count()) if purpose == "copies-texts" else None
+        return staged(df, purpose)
+
+    monkeypatch.setattr(near_copies, "staged", watched)
+    assert pipeline.keep_one_of_each(spark, docs, "").count() == 12
+    assert seen and sum(seen) <= 6

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import simhash
@@ -16,9 +16,10 @@ from tidewell.session import stage, staged
 WORDS = 5
 #: Documents in the sample that tells common shingles; those in so many of them, and so many of those at most, come last.
 SAMPLE_DOCS, COMMON_IN, COMMON = 10_000, 4, 50_000
-#: Shingles are counted in so many buckets by their first bits. What two sets have in common in a bucket is at
-#: most the smaller count. Counts up to FULL are told apart; a set with a fuller bucket is not judged by them.
-BUCKETS, FULL = 128, 255
+#: Shingles are counted in so many buckets by their last bits, and only whether a count is odd is kept. Where two sets
+#: differ in a bucket, one of them holds a shingle there that the other lacks. Sets of more shingles than buckets get
+#: a second, longer row of at least as many buckets as shingles.
+BUCKETS = 1024
 #: A prefix shingle of a node: its place in the node's order and the number of shingles the node has.
 POSTING = ["shingle", "place", "node", "size"]
 
@@ -56,15 +57,30 @@ def prefix(of: np.ndarray, common: np.ndarray) -> np.ndarray:
     return np.concatenate((of[~last], of[last]))[: len(of) - (4 * len(of) + 4) // 5 + (len(of) > 0)]
 
 
-def bucket_counts(of: np.ndarray) -> bytes:
-    """How many shingles of a set fall into each bucket, a byte each."""
-    return np.minimum(np.bincount((of >> np.uint64(57)).astype(np.int64), minlength=BUCKETS), FULL).astype(np.uint8).tobytes()
+def bucket_counts(of: np.ndarray, buckets: int = BUCKETS) -> bytes:
+    """Whether the number of shingles of a set in each bucket, a power of two of them, is odd: a bit each."""
+    return np.packbits(np.bincount((of & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets) % 2 == 1).tobytes()
+
+
+def long_counts(of: np.ndarray) -> bytes | None:
+    """Bucket counts of a large set in at least as many buckets as it has shingles; None where ``BUCKETS`` are enough."""
+    return bucket_counts(of, 1 << (len(of) - 1).bit_length()) if len(of) > BUCKETS else None
 
 
 def may_be_similar(a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Whether sets with these bucket counts (rows) and sums of sizes can be similar: no similar pair is refused."""
-    shared = np.minimum(a, b).sum(1, dtype=np.int64)
-    return (9 * shared >= 4 * sizes) | (a == FULL).any(1) | (b == FULL).any(1)
+    """Whether sets with these bucket counts (rows) and sums of sizes can be similar: no similar pair is refused.
+
+    Similar sets hold at most a ninth of the sum of their sizes in only one of them.
+    """
+    return 9 * np.bitwise_count(a ^ b).sum(1, dtype=np.int64) <= sizes
+
+
+def may_be_similar_long(a: bytes, b: bytes, sizes: int) -> bool:
+    """The same for long bucket counts of two sets; the longer ones are folded to the length of the shorter."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    n = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(v.reshape(-1, n), 0) for v in (x, y))
+    return bool(may_be_similar(x[None], y[None], np.array([sizes]))[0])
 
 
 def _common(docs: DataFrame, words: int) -> np.ndarray:
@@ -82,7 +98,7 @@ def _common(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, hash, fp (the SimHash), node (a hash of the shingle set), its size, prefix and bucket counts, of every row."""
+    """doc_id, hash, fp (the SimHash), node (a hash of the shingle set), its size, prefix and both bucket counts, of every row."""
     common = _common(docs, words)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -94,12 +110,12 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
         ends = np.cumsum([0, *map(len, first)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*first, np.zeros(0, np.uint64)]).view(np.int64)))
         size = pa.array(np.fromiter(map(len, found), np.int32, len(found)))
-        counts = pa.array(list(map(bucket_counts, found)), pa.binary())
+        counts, long = (pa.array(list(map(f, found)), pa.binary()) for f in (bucket_counts, long_counts))
         fp = np.array([simhash.fingerprint(t, words) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
-        columns = [batch.column("doc_id"), batch.column("hash"), pa.array(fp), pa.array(node), size, lists, counts]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "fp", "node", "size", "prefix", "counts"])
+        columns = [batch.column("doc_id"), batch.column("hash"), pa.array(fp), pa.array(node), size, lists, counts, long]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "fp", "node", "size", "prefix", "counts", "long"])
 
-    return docs.mapInArrow(per_slice(run), "doc_id long, hash long, fp long, node long, size int, prefix array<long>, counts binary")
+    return docs.mapInArrow(per_slice(run), "doc_id long, hash long, fp long, node long, size int, prefix array<long>, counts binary, long binary")
 
 
 def by_fingerprint(sets: DataFrame, radius: int = simhash.RADIUS) -> DataFrame:
@@ -117,7 +133,7 @@ def by_fingerprint(sets: DataFrame, radius: int = simhash.RADIUS) -> DataFrame:
 def _values(column: pa.Array) -> np.ndarray:
     """A column as an array; bucket counts with a row for each value."""
     if pa.types.is_binary(column.type):
-        return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BUCKETS)
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BUCKETS // 8)
     return column.to_numpy()
 
 
@@ -193,8 +209,29 @@ def _pairs(lefts: list[np.ndarray], rights: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(*both.T)), pa.array(np.maximum(*both.T))], ["a", "b"])
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose shingle sets are similar."""
+def _plausible(pairs: DataFrame, about: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different nodes that both bucket counts allow to be similar."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                sizes = batch.column("sizes").to_numpy()
+                keep = may_be_similar(_values(batch.column("counts_a")), _values(batch.column("counts_b")), sizes)
+                for i in np.flatnonzero(keep):
+                    x, y = batch.column("long_a")[i].as_py(), batch.column("long_b")[i].as_py()
+                    keep[i] = x is None or y is None or may_be_similar_long(x, y, int(sizes[i]))
+                yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    def side(name: str) -> DataFrame:
+        return about.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("size", "counts", "long")])
+
+    asked = pairs.where("a <> b").distinct().join(side("a"), "a").join(side("b"), "b")
+    asked = asked.select("a", "b", "counts_a", "counts_b", "long_a", "long_b", (F.col("size_a") + F.col("size_b")).alias("sizes"))
+    return asked.mapInArrow(run, "a long, b long")
+
+
+def _confirmed(pairs: DataFrame, about: DataFrame, rows: DataFrame, words: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose shingle sets are similar. Only texts of plausible pairs are moved."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
@@ -207,22 +244,18 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
             near[i] = similar(found[x], found[y])
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]).filter(pa.array(near))
 
-    def plausible(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BUCKETS) for c in ("counts", "other"))
-                keep = may_be_similar(a, b, batch.column("sizes").to_numpy())
-                yield batch.select(["a", "b"]).filter(pa.array(keep))
+    # Both written before texts come in: where few are asked for, Spark then knows it and moves them, not the texts.
+    asked = stage(_plausible(pairs, about), "copies-plausible")
+    ends = asked.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = stage(about.select("node", "key", "hash").join(ends, "node", "left_semi"), "copies-wanted")
+    texts = rows.select(_key(), "hash", "text").join(wanted, ["key", "hash"]).select("node", "text").dropDuplicates(["node"])
+    with staged(texts, "copies-texts") as texts:
+        both = asked.join(texts.withColumnRenamed("node", "a"), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("other")), "b")
+        return stage(both.select("a", "b", "text", "other").mapInArrow(per_slice(run), "a long, b long"), "copies-near")
 
-    def side(name: str, column: str, other: str) -> DataFrame:
-        return texts.select(F.col("node").alias(name), F.col(column).alias(other), F.col("size").alias(f"size_{name}"))
 
-    asked = pairs.where("a <> b").distinct().join(side("a", "counts", "counts"), "a").join(side("b", "counts", "other"), "b")
-    asked = asked.select("a", "b", "counts", "other", (F.col("size_a") + F.col("size_b")).alias("sizes"))
-    # Written before texts come in: where few pairs are left, Spark then knows it and moves them, not the texts.
-    asked = stage(asked.mapInArrow(plausible, "a long, b long"), "copies-plausible")
-    both = asked.join(side("a", "text", "text"), "a").join(side("b", "text", "other"), "b")
-    return both.select("a", "b", "text", "other").mapInArrow(per_slice(run), "a long, b long")
+def _key() -> Column:
+    return F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key")
 
 
 def near_copies(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -242,25 +275,22 @@ def near_copies(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", tex
     dealt = nodes.select("node", "size", F.posexplode("prefix").alias("place", "shingle"))
     with staged(_by_shingle(dealt, POSTING, _pivots, "shingle long, place int, node long, size int, pivot long"), "copies-groups") as groups:
         # One row stands for each node that has company; its text is what is compared.
-        key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key")
         needed = sets.join(groups.select("node").distinct(), "node", "left_semi").groupBy("node")
-        needed = needed.agg(F.min(F.struct(key, "hash")).alias("row"), F.first("size").alias("size"), F.first("counts").alias("counts"))
-        needed = needed.select("node", "size", "counts", "row.key", "row.hash")
-        texts = rows.select(key, "hash", "text").join(needed, ["key", "hash"]).select("node", "size", "counts", "text").dropDuplicates(["node"])
-        with staged(texts, "copies-texts") as texts:
+        needed = needed.agg(F.min(F.struct(_key(), "hash")).alias("row"), *[F.first(c).alias(c) for c in ("size", "counts", "long")])
+        with staged(needed.select("node", "size", "counts", "long", "row.key", "row.hash"), "copies-about") as about:
             met = groups.where("pivot <> node").groupBy("node", "pivot").agg(F.count("*").alias("n"))
             chosen = stage(met.groupBy("node").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("pivot")), "copies-chosen")
             first = chosen.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b"))
-            near = stage(_confirmed(by_fingerprint(sets).unionByName(first), texts, words), "copies-near")
+            near = _confirmed(by_fingerprint(sets).unionByName(first), about, rows, words)
             label = stage(components(near, "copies-first"), "copies-label")
             label_of = F.coalesce("component", "node").alias("label")
             # Only groups that still hold two components go on, with the counts of their texts.
             tags = groups.select("shingle", "node").join(label, "node", "left").select("shingle", label_of)
             apart = tags.groupBy("shingle").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
             still = stage(groups.drop("pivot").join(apart.select("shingle"), "shingle", "left_semi"), "copies-open")
-            about = texts.select("node", "counts").join(chosen, "node", "left").join(label, "node", "left")
-            about = about.select("node", "counts", F.coalesce("pivot", "node").alias("pivot"), label_of)
-            open_pairs = _by_shingle(still.join(about, "node"), [*POSTING, "pivot", "label", "counts"], _apart, "a long, b long")
-            more = stage(_confirmed(open_pairs, texts, words), "copies-more")
+            of = about.select("node", "counts").join(chosen, "node", "left").join(label, "node", "left")
+            of = of.select("node", "counts", F.coalesce("pivot", "node").alias("pivot"), label_of)
+            open_pairs = _by_shingle(still.join(of, "node"), [*POSTING, "pivot", "label", "counts"], _apart, "a long, b long")
+            more = _confirmed(open_pairs, about, rows, words)
     member = components(near.unionByName(more), "copies-edges")
     return sets.select("doc_id", "hash", "node").join(member, "node", "left").select("doc_id", "hash", F.coalesce("component", "node").alias("component"))
