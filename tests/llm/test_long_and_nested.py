@@ -184,3 +184,12 @@ def test_base_kinds_against_their_definition(spark):
     for row in secrets.scan_secrets(df).collect():
         base = [(s.start, secrets.KINDS.index(s.kind), s.end) for s in row.spans if s.kind in ("assign", "access", "hex")]
         assert base == base_spans(texts[row.doc_id] or "")
+
+
+def test_driver_needs_no_encoder_for_a_token_store(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40)
+    token_store.encoder.cache_clear()
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    manifest, dictionary = token_store.write_token_store(docs, scratch_path(spark, "t"), path)
+    assert token_store.encoder.cache_info().misses == 0
+    assert dictionary and token_store.read_token_store(manifest, dictionary).count() == 40

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from tidewell.llm import near_copies, simhash
+from tidewell.llm import common, near_copies, simhash
+from tidewell.session import stage
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -173,3 +174,36 @@ def test_only_plausible_pairs_are_confirmed(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "staged", watched)
     assert pipeline.keep_one_of_each(spark, docs, "").count() == 12
     assert seen and sum(seen) <= 6
+
+
+def test_component_rounds_are_small_plans(spark, monkeypatch):
+    """One join to a plan and nothing broadcast: the driver's memory does not grow with the partitions of a round."""
+    plans = []
+
+    def noted(df, purpose):
+        copy = stage(df, purpose)
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return copy
+
+    monkeypatch.setattr(common, "stage", noted)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 7), (200, 201), (201, 200), (300, 300)] + [(500, 500 + i) for i in range(1, 30)]
+    found = {r["node"]: r["component"] for r in common.components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
+    want = {i: 0 for i in [*range(41), 100]} | {200: 200, 201: 200} | {500 + i: 500 for i in range(30)}
+    assert found == want
+    joined = [p for p in plans if "Join" in p]
+    assert joined and all(p.count("Join") == 1 and "strategy=merge" in p for p in joined)
+
+
+def test_common_shingles_are_chosen_on_executors(spark, docs, monkeypatch):
+    """The driver collects the chosen shingles only, not the candidates of every partition."""
+    written = {}
+
+    def noted(df, purpose):
+        written[purpose] = stage(df, purpose)
+        return written[purpose]
+
+    monkeypatch.setattr(near_copies, "stage", noted)
+    monkeypatch.setattr(near_copies, "COMMON", 5)
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    found = near_copies._common(rows, 5).view(np.int64).tolist()
+    assert len(found) == 5 and [r["shingle"] for r in written["copies-common"].collect()] == found

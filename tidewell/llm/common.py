@@ -122,18 +122,19 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
     """Connected components of the undirected graph of ``edges`` (a, b): rows (node, component).
 
     ``component`` is the smallest node reachable. Alternates large-star and small-star rounds,
-    each a join on the node; a written table cuts the lineage after each round. The number of
-    rounds grows with the logarithm of the component size. No edges give no rows.
+    each a join on the node; a written table cuts the lineage after each of them, and the joins are
+    sorted ones, so that the driver holds a small plan and no table, however many partitions there are.
+    The number of rounds grows with the logarithm of the component size. No edges give no rows.
     """
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.select("a", "b").union(e.select(e.b, e.a)) if large else e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        near = both.join(least, "a")
+        near = both.join(least.hint("merge"), "a")
         if large:
             return near.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         hooked = near.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        return hooked.union(near.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
+        return hooked.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
     def mark(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -141,7 +142,7 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
     now = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), purpose)
     seen = mark(now)
     while seen[0]:
-        now = stage(star(star(now, True), False), purpose)
+        now = stage(star(stage(star(now, True), purpose), False), purpose)
         if (new := mark(now)) == seen:
             break
         seen = new

@@ -94,7 +94,9 @@ def _common(docs: DataFrame, words: int) -> np.ndarray:
 
     counted = some.select("text").mapInArrow(per_slice(run), "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
     most = counted.where(F.col("n") >= COMMON_IN).orderBy(F.desc("n"), "shingle").limit(COMMON)
-    return np.array([r["shingle"] for r in most.select("shingle").collect()], np.int64).view(np.uint64)
+    # Written first: a collected limit would bring as many rows of every partition to the driver.
+    found = stage(most.select("shingle"), "copies-common").collect()
+    return np.array([r["shingle"] for r in found], np.int64).view(np.uint64)
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:

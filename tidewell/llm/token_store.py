@@ -152,12 +152,20 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int) -> bytes:
     """A dictionary from the ids of slices of a bounded sample of documents; empty only where no text is.
 
     Documents of any length are eligible. Where there are too few samples to train on, or they are
-    too alike, the samples themselves are the dictionary's content.
+    too alike, the samples themselves are the dictionary's content. One task encodes the sample and
+    trains: the driver gets the dictionary and needs no encoder.
     """
+
+    def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if texts := [t for batch in batches for t in batch.column("text").to_pylist()]:
+            found = shared_dictionary(encoder(tokenizer, end_id).encode(texts), DICTIONARY_BYTES)
+            yield pa.RecordBatch.from_arrays([pa.array([found], pa.binary())], ["dictionary"])
+
     some = small_sample(docs.where("text <> ''").select("doc_id", "text"), F.xxhash64("doc_id", "text"), SAMPLE_DOCS)
     first = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1) + 1
-    rows = some.select(F.col("text").substr(first.cast("int"), F.lit(SAMPLE_CHARS)).alias("text")).collect()
-    return shared_dictionary(encoder(tokenizer, end_id).encode([r.text for r in rows]), DICTIONARY_BYTES)
+    # The sample is in one partition, in the order of its hashes.
+    texts = some.select(F.col("text").substr(first.cast("int"), F.lit(SAMPLE_CHARS)).alias("text")).coalesce(1)
+    return b"".join(bytes(r["dictionary"]) for r in texts.mapInArrow(train, "dictionary binary").collect())
 
 
 def pack_shard(dictionary: bytes, width: int, docs: list[int | None], tokens: list[int], frames: list[bytes]) -> list[bytes]:
@@ -210,18 +218,19 @@ def write_token_store(
     spark = docs.sparkSession
     docs = id_and_text(docs, id_col, text_col)
     dictionary = train_dictionary(docs, tokenizer, end_id)
-    width = encoder(tokenizer, end_id).width
     write_file(folder, hashlib.sha256(dictionary).hexdigest(), "dictionary", [dictionary])
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         pack = zstandard.ZstdCompressor(level=3, dict_data=shared) if shared else zstandard.ZstdCompressor(level=3)
-        raw = encoder(tokenizer, end_id).encode(batch.column("text").to_pylist())
-        cells = [pa.array([len(r) // width for r in raw], pa.int64()), pa.array([pack.compress(r) for r in raw], pa.binary())]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *cells], ["doc_id", "n", "frame"])
+        ids = encoder(tokenizer, end_id)
+        raw = ids.encode(batch.column("text").to_pylist())
+        cells = [pa.array([len(r) // ids.width for r in raw], pa.int64()), pa.array([pack.compress(r) for r in raw], pa.binary())]
+        width = pa.array([ids.width] * len(raw), pa.int32())
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *cells, width], ["doc_id", "n", "frame", "width"])
 
     encoded = stage(
-        docs.mapInArrow(per_slice(encode), "doc_id long, n long, frame binary").withColumn("tie", F.xxhash64("frame")),
+        docs.mapInArrow(per_slice(encode), "doc_id long, n long, frame binary, width int").withColumn("tie", F.xxhash64("frame")),
         "token-frames",
     )
     size = encoded.agg(F.sum(F.length("frame"))).first()[0] or 0
@@ -231,7 +240,7 @@ def write_token_store(
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        attempt, part, held, ids, tokens, frames = f"{task.partitionId():07d}-{task.taskAttemptId()}", 0, 0, [], [], []
+        attempt, part, held, width, ids, tokens, frames = f"{task.partitionId():07d}-{task.taskAttemptId()}", 0, 0, 0, [], [], []
 
         def flush() -> pa.RecordBatch:
             path, n = write_file(folder, f"{part:05d}.tok", attempt, pack_shard(dictionary, width, ids, tokens, frames))
@@ -241,7 +250,7 @@ def write_token_store(
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
         for batch in batches:
-            for doc, n, frame in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "frame"))):
+            for doc, n, frame, width in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "frame", "width"))):
                 ids.append(doc), tokens.append(n), frames.append(frame)
                 held += len(frame)
                 if held >= shard_bytes:
@@ -250,7 +259,7 @@ def write_token_store(
         if ids:
             yield flush()
 
-    manifest = stage(ordered.select("doc_id", "n", "frame").mapInArrow(write, MANIFEST), "token-manifest")
+    manifest = stage(ordered.select("doc_id", "n", "frame", "width").mapInArrow(write, MANIFEST), "token-manifest")
     # One row per shard: a running sum over file sizes, not over documents.
     before = Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0))), dictionary
