@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators import evaluation, split
+from tidewell.operators.cells import CellFits
 from tidewell.operators.drift import unpivot
 from tidewell.operators.ordering import exact_quantiles, global_rank
 from tidewell.session import scratch_path, stage
@@ -277,10 +278,11 @@ def train_and_compare(
     labels = category_labels(filled, categorical, max_categories)
     prepared = Pipeline(stages=preprocessing_stages(numeric, labels)).fit(ready)
     ready_vectors = prepared.transform(ready).select("features", label, WEIGHT).cache()
+    fits = CellFits(ready_vectors, sizes.positives + sizes.negatives)
     rows, models = [], {}
     try:
         for c in candidates or default_candidates(label, seed=seed):
-            classifier = _without_summary(c.estimator.fit(ready_vectors), spark)
+            classifier = fits.fit(c.estimator) or _without_summary(c.estimator.fit(ready_vectors), spark)
             fitted = PipelineModel(stages=[imputation.as_stage(), *prepared.stages, classifier])
             found = evaluation.ranking_metrics(
                 _scored(fitted, validation, label), label, PROBABILITY
